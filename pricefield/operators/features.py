@@ -293,7 +293,14 @@ def all_features(
 ) -> DataFrame:
     """Day-grain (series, date, x) to the full feature frame, gaps filled, no infinities."""
     f = Frames(series)
-    rows = df.select(*series, "date", x)
+    # Features cost far more than the thin rows they start from. A shuffle with a count of its
+    # own is neither merged into the one below nor coalesced by size at run time.
+    parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(*series, "date", x).repartition(parts, *series)
+    fast, slow, signal = MACD_SPANS
+    spans = {f"ema_{s}": (x, s) for s in EMA_SPANS} | {"_fast": (x, fast), "_slow": (x, slow)}
+    rows = with_emas(rows, series, spans).withColumn("macd", F.col("_fast") - F.col("_slow"))
+    rows = _with_signal(rows, series, signal)
     base = {
         **lag_columns(f, x, lags), **diff_columns(f, x, lags), **pct_change_columns(f, x, lags),
         **momentum_columns(f, x),
@@ -308,11 +315,6 @@ def all_features(
             "_past": f.lag(x, 7),
         }
     rows = rows.withColumns(base)
-    fast, slow, signal = MACD_SPANS
-    spans = {f"ema_{s}": (x, s) for s in EMA_SPANS} | {"_fast": (x, fast), "_slow": (x, slow)}
-    rows = with_emas(rows, series, spans)
-    rows = rows.withColumn("macd", F.col("_fast") - F.col("_slow"))
-    rows = _with_signal(rows, series, signal)
     second = {
         **range_columns(windows), **price_to_sma_columns(x, windows), **ema_cross_columns(),
         **rsi_columns(f), "stoch_d": stoch_d_column(f), **calendar_features(),
