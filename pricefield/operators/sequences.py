@@ -114,14 +114,13 @@ def cv_folds_sized(
     bounds = []
     for i in range(n_splits):
         train_end = first + test * i
-        bounds.append(
-            F.struct(
-                F.lit(i).alias("fold"), train_end.alias("train_end"),
-                (train_end + gap).alias("test_start"), (train_end + gap + test).alias("test_end"),
-            )
+        test_end = train_end + gap + test
+        bound = F.struct(
+            F.lit(i).alias("fold"), train_end.alias("train_end"),
+            (train_end + gap).alias("test_start"), test_end.alias("test_end"),
         )
-    fits = F.filter(F.array(*bounds), lambda f: f["test_end"] <= n)
-    return _assign_folds(df, idx, fits)
+        bounds.append(F.when(test_end <= n, bound))
+    return _assign_folds(df, idx, F.array(*bounds))
 
 
 def cv_summary(scores: DataFrame, metrics: Sequence[str]) -> DataFrame:

@@ -1,4 +1,11 @@
 """Importing this module registers every query."""
 
-from . import clean_queries, feature_queries, ingest_queries, profile_queries  # noqa: F401
+from . import (  # noqa: F401
+    clean_queries,
+    feature_queries,
+    forecast_queries,
+    ingest_queries,
+    profile_queries,
+    sequence_queries,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401
