@@ -118,6 +118,18 @@ def strict_ma_columns(f: Frames, x: str, windows: Sequence[int] = (7, 30)) -> di
 
 # --- exponential means -------------------------------------------------------------
 
+def _chunk_groups(spans: dict[str, tuple[str, int]]) -> list[tuple[int, dict[str, tuple[str, float]]]]:
+    """(chunk length, {name: (column, keep)}): spans whose weights stay finite over one length."""
+    decay = {n: -math.log((s - 1) / (s + 1)) if s > 1 else math.inf for n, (_, s) in spans.items()}
+    groups: list[tuple[int, dict]] = []
+    for name in sorted(spans, key=lambda n: decay[n]):
+        own = max(2, math.ceil(41.5 / decay[name]))
+        if not groups or groups[-1][0] * decay[name] > 600:
+            groups.append((own, {}))
+        groups[-1][1][name] = (spans[name][0], math.exp(-decay[name]))
+    return groups
+
+
 def with_emas(
     df: DataFrame, series: Sequence[str], values: dict[str, tuple[str, int]], order: str = "date"
 ) -> DataFrame:
@@ -127,30 +139,25 @@ def with_emas(
     weight of the chunk before last is under 1e-18: a row needs its own chunk's running
     sum and the last sum of the chunk before.
     """
-    keep = {name: (span - 1) / (span + 1) for name, (_, span) in values.items()}
-    chunk = max(2, *[math.ceil(41.5 / -math.log(q)) if q > 0 else 2 for q in keep.values()])
     t = F.row_number().over(Window.partitionBy(*series).orderBy(order)) - 1
     rows = df.withColumn("_t", t)
-    rows = rows.withColumn("_c", F.floor(F.col("_t") / chunk)).withColumn("_j", F.col("_t") % chunk)
-    inside = Window.partitionBy(*series, "_c").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
-    sums = {}
-    for name, (x, _) in values.items():
-        q = keep[name]
-        if q == 0:
-            sums[f"_s_{name}"] = F.col(x)
-            continue
-        part = F.when(F.col("_t") == 0, F.col(x)).otherwise(F.col(x) * (1 - q))
-        grown = F.sum(part * F.pow(F.lit(q), -F.col("_j"))).over(inside)
-        sums[f"_s_{name}"] = grown * F.pow(F.lit(q), F.col("_j"))
-    rows = rows.withColumns(sums)
-    before = Window.partitionBy(*series).orderBy("_c").rangeBetween(-1, -1)
-    ends = F.col("_j") == chunk - 1
-    out = {}
-    for name in values:
-        q = keep[name]
-        carry = F.coalesce(F.max(F.when(ends, F.col(f"_s_{name}"))).over(before), F.lit(0.0))
-        out[name] = F.col(f"_s_{name}") + (carry * F.pow(F.lit(q), F.col("_j") + 1) if q else F.lit(0.0))
-    return rows.withColumns(out).drop("_t", "_c", "_j", *sums)
+    for chunk, group in _chunk_groups(values):
+        rows = rows.withColumns({"_c": F.floor(F.col("_t") / chunk), "_j": F.col("_t") % chunk})
+        inside = Window.partitionBy(*series, "_c").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+        sums = {}
+        for name, (x, q) in group.items():
+            part = F.when(F.col("_t") == 0, F.col(x)).otherwise(F.col(x) * (1 - q))
+            grown = F.sum(part * F.pow(F.lit(q), -F.col("_j"))).over(inside)
+            sums[f"_s_{name}"] = grown * F.pow(F.lit(q), F.col("_j")) if q else F.col(x)
+        rows = rows.withColumns(sums)
+        before = Window.partitionBy(*series).orderBy("_c").rangeBetween(-1, -1)
+        out = {}
+        for name, (_, q) in group.items():
+            end = F.when(F.col("_j") == chunk - 1, F.col(f"_s_{name}"))
+            carry = F.coalesce(F.max(end).over(before), F.lit(0.0))
+            out[name] = F.col(f"_s_{name}") + carry * F.pow(F.lit(q), F.col("_j") + 1)
+        rows = rows.withColumns(out).drop("_c", "_j", *sums)
+    return rows.drop("_t")
 
 
 def ema(df: DataFrame, series: Sequence[str], x: str = "price", spans: Sequence[int] = EMA_SPANS) -> DataFrame:

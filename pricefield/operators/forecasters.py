@@ -180,13 +180,6 @@ AR_MAX = 5
 AR_LAGS = [1, 2, 3, 4, 5, PERIOD]
 
 
-def difference(df: DataFrame, series: Sequence[str], y: str, d: int, date: str) -> DataFrame:
-    w = Window.partitionBy(*series).orderBy(date)
-    for _ in range(d):
-        df = df.withColumn(y, F.col(y) - F.lag(y, 1).over(w))
-    return df
-
-
 def ar_moments(df: DataFrame, series: Sequence[str], y: str = "price", date: str = "date", max_d: int = 2) -> DataFrame:
     """Per (series, d): spread of the d-times differenced series and its lag products."""
     w = Window.partitionBy(*series).orderBy(date)
@@ -200,13 +193,15 @@ def ar_moments(df: DataFrame, series: Sequence[str], y: str = "price", date: str
     names = ["_one", *[f"_x{k}" for k in AR_LAGS], "_y"]
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     for d, z in enumerate(zs):
-        centred = rows.withColumn("_y", z - F.avg(z).over(Window.partitionBy(*series)))
+        centred = rows.withColumn("_mean", F.avg(z).over(Window.partitionBy(*series)))
+        centred = centred.withColumn("_y", z - F.col("_mean"))
         centred = centred.withColumns(
             {"_one": F.lit(1.0), **{f"_x{k}": F.lag("_y", k).over(w) for k in AR_LAGS}}
         )
         full = centred.where(" AND ".join(f"{n} IS NOT NULL" for n in names))
         sums = full.groupBy(*series).agg(
             F.count(F.lit(1)).alias("n"), F.stddev_pop("_y").alias("spread"),
+            F.max("_mean").alias("centre"),
             F.array(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]).alias("products"),
         )
         part = sums.withColumn("d", F.lit(d))
@@ -240,14 +235,14 @@ def ar_candidates(moments: DataFrame, series: Sequence[str], seasonal: bool = Tr
     out = T.StructType([
         *_fields(moments, keys),
         *[T.StructField(n, T.IntegerType()) for n in ("d", "p", "seasonal")],
-        *[T.StructField(n, T.DoubleType()) for n in ("spread", "sigma2", "aic", "bic")],
+        *[T.StructField(n, T.DoubleType()) for n in ("spread", "centre", "sigma2", "aic", "bic")],
         T.StructField("coef", T.ArrayType(T.DoubleType())),
     ])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [
-                {**{k: r[k] for k in keys}, "d": r["d"], "spread": r["spread"], **found}
+                {**{k: r[k] for k in keys}, "d": r["d"], "spread": r["spread"], "centre": r["centre"], **found}
                 for r in pdf.to_dict("records")
                 for found in solve_orders(np.asarray(r["products"]), r["n"], seasonal and r["n"] >= 14)
             ]
@@ -280,12 +275,11 @@ def ar_forecast(
     w = Window.partitionBy(*keys).orderBy(F.desc(date))
     # d differences and PERIOD lags reach PERIOD + 2 rows back.
     tail = df.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= PERIOD + 3)
-    mean = df.groupBy(*keys).agg(F.avg(y).alias("_m0"), F.count(y).alias("_n"), F.min_by(y, date).alias("_first"))
     ends = tail.groupBy(*keys).agg(
         F.transform(F.sort_array(F.collect_list(F.struct(date, y))), lambda s: s[y]).alias("_tail"),
         F.max(date).alias("_end"),
     )
-    rows = ends.join(mean, keys).join(models, keys)
+    rows = ends.join(models, keys)
     out = T.StructType([
         *_fields(df, keys), T.StructField(date, T.DateType()), T.StructField("yhat", T.DoubleType())
     ])
@@ -296,14 +290,12 @@ def ar_forecast(
             for r in pdf.to_dict("records"):
                 seen = np.asarray(r["_tail"], dtype=float)
                 d, coef = int(r["d"]), np.asarray(r["coef"])
-                # Mean of the differenced series: for d = 1 it telescopes; for d = 2 it is near 0.
-                centre = r["_m0"] if d == 0 else (seen[-1] - r["_first"]) / max(r["_n"] - 1, 1) if d == 1 else 0.0
-                z = list(np.diff(seen, n=d) - centre)
+                z = list(np.diff(seen, n=d) - r["centre"])
                 ends_at = [np.diff(seen, n=i)[-1] for i in range(d)]
                 for h in range(1, periods + 1):
                     nxt = coef[0] + sum(c * z[-k] for c, k in zip(coef[1:], AR_LAGS) if c and k <= len(z))
                     z.append(nxt)
-                    value = nxt + centre
+                    value = nxt + r["centre"]
                     for i in reversed(range(d)):
                         ends_at[i] += value
                         value = ends_at[i]

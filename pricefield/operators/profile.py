@@ -106,12 +106,17 @@ def seasonal_mean(df: DataFrame, unit: str, price: str = "price", date: str = "d
 
 
 def histogram(df: DataFrame, x: str, bins: int = 50) -> DataFrame:
-    """Equal bins between minimum and maximum, the last one closed: (bin, left, right, n)."""
-    ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).select(F.struct("lo", "hi").alias("s")).scalar()
+    """Equal bins between minimum and maximum, the last one closed: (bin, left, right, n).
+
+    When all values are equal the range is widened by a half on both sides.
+    """
+    lo, hi = F.min(x), F.max(x)
+    pad = F.when(lo == hi, F.lit(0.5)).otherwise(F.lit(0.0))
+    ends = df.agg(F.struct((lo - pad).alias("lo"), (hi + pad).alias("hi")).alias("s")).scalar()
     lo, hi = ends.getField("lo"), ends.getField("hi")
     width = (hi - lo) / bins
     place = F.least(F.floor(F.try_divide(F.col(x) - lo, width)), F.lit(bins - 1))
-    counts = df.where(F.col(x).isNotNull()).groupBy(F.coalesce(place, F.lit(0)).cast("int").alias("bin")).agg(
+    counts = df.where(F.col(x).isNotNull()).groupBy(place.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return counts.select(

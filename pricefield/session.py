@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,10 +26,11 @@ def build_session(app: str = "pricefield", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="pricefield-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="pricefield-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder the cluster names in spark.checkpoint.dir; a local one only where it names none."""
+    return spark.conf.get("spark.checkpoint.dir", "") or _own_folder()
