@@ -183,16 +183,36 @@ def sorted_rows(positions: DataFrame, chunk: int = BLOCK_ROWS) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, value: Column | str, probs: dict[str, float], by: Sequence[str] = ()
+    df: DataFrame, value: Column | str, probs: dict[str, float], by: Sequence[str] = (), hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Linear-interpolated quantiles per group, one column per entry of probs.
+    """Linear-interpolated quantiles, one column per entry of probs, per group of `by`.
 
-    Pass one counts rows per value bucket; pass two looks only at the buckets that hold a
-    wanted rank. Equal values are counted before the shuffle.
+    Groups of up to hot_rows rows use the built-in aggregate, which holds a group's distinct
+    values in one task. Larger groups, and the whole table, go through value buckets.
     """
     by = list(by)
     rows = df.select(*by, col(value).cast("double").alias("_v"))
-    rows = rows.where(F.col("_v").isNotNull() & ~F.isnan("_v")).withColumn("_b", order_bucket("_v"))
+    rows = rows.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if not by:
+        return _bucket_quantiles(rows, probs, by)
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    # At most rows/hot_rows groups are that large, so this side is small by construction.
+    hot = F.broadcast(sizes.where(F.col("_n") > hot_rows).select(*by))
+    usual = rows.join(hot, by, "left_anti").groupBy(*by).agg(
+        F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs.values()])).alias("_q")
+    )
+    usual = usual.select(*by, *[F.col("_q")[i].alias(k) for i, k in enumerate(probs)])
+    return usual.unionByName(_bucket_quantiles(rows.join(hot, by, "left_semi"), probs, by))
+
+
+def _bucket_quantiles(rows: DataFrame, probs: dict[str, float], by: list[str]) -> DataFrame:
+    """Quantiles of `_v` in two passes.
+
+    Pass one counts rows per value bucket; pass two looks only at the buckets that hold a
+    wanted rank. Equal values are counted before the shuffle. The groups are few, since
+    each of them is large, so the wanted buckets are broadcast.
+    """
+    rows = rows.withColumn("_b", order_bucket("_v"))
     hist = rows.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
     hist = hist.select(
         *by, "_b", "_n",
@@ -210,10 +230,8 @@ def exact_quantiles(
     for rank in [*lower.values(), *upper.values()]:
         wanted = wanted | holds(F.col("_start"), F.col("_n"), rank)
     targets = hist.where(wanted).drop("_n")
-    if not by:
-        targets = F.broadcast(targets)  # at most two buckets per wanted quantile
     found = (
-        rows.join(targets, [*by, "_b"])
+        rows.join(F.broadcast(targets), [*by, "_b"])
         .groupBy(*by, "_b", "_start", "_total", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )

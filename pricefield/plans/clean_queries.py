@@ -80,13 +80,13 @@ def _(spark, d):
 
 @query("ffill_bfill", f"""
     WITH days AS (SELECT commodity, date, avg(price) AS price FROM ({GAPPY_SQL}) GROUP BY commodity, date)
-    SELECT commodity, date, {r('''coalesce(
+    SELECT commodity, date, {s('''coalesce(
         last_value(price IGNORE NULLS) OVER (PARTITION BY commodity ORDER BY date),
         first_value(price IGNORE NULLS) OVER (PARTITION BY commodity ORDER BY date
-                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))''', 4, 'price')} FROM days""")
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))''', 'price')} FROM days""")
 def _(spark, d):
     days = daily.daily_mean(gappy_orders(spark, d), ["commodity"])
-    return rounded(daily.fill_daily(days, ["commodity"], ["price"]), 4)
+    return single(daily.fill_daily(days, ["commodity"], ["price"]))
 
 
 @query("ffill_bfill_rows", f"""

@@ -416,12 +416,12 @@ _CYC = [(f"{n}_{fn}", f"{fn}(2 * pi() * {v} / {p})") for n, v, p in (
         (SELECT quantile_cont(price, 0.25) AS a, quantile_cont(price, 0.75) AS b FROM prices_orders) q
         WHERE price >= greatest(0, a - 1.5 * (b - a)) AND price <= b + 1.5 * (b - a)),
     {Z_SQL.format(src='fenced').replace('o.*,', 'o.*, m, sd,')}
-    SELECT row_id, date, price, commodity_clean, {r('price_log', 7)}, {r('z', 7, 'price_normalized')},
-      {r(LOG_RETURN, 7, 'log_return')}, {r('m', 7, 'commodity_mean')}, {r('sd', 7, 'commodity_std')},
-      {', '.join(r(e, 7, k) for k, e in ROLL.items())}, {r(f'z - avg(z) {prow(7)}', 7, 'momentum')},
-      {', '.join(r(e, 7, k) for k, e in _CYC)},
+    SELECT row_id, date, price, commodity_clean, {r('price_log', 5)}, {r('z', 5, 'price_normalized')},
+      {r(LOG_RETURN, 5, 'log_return')}, {r('m', 5, 'commodity_mean')}, {r('sd', 5, 'commodity_std')},
+      {', '.join(r(e, 5, k) for k, e in ROLL.items())}, {r(f'z - avg(z) {prow(7)}', 5, 'momentum')},
+      {', '.join(r(e, 5, k) for k, e in _CYC)},
       {', '.join(f"CAST(commodity_clean = '{n}' AS DOUBLE) AS is_{n.replace(' ', '_').replace('-', '_')}" for n in _NAMES)}
     FROM z""")
 def _(spark, d):
     rows = panel.processed_panel(prices_orders(spark, d), "row_id")
-    return rounded(rows, 7, [c for c, t in rows.dtypes if t == "double" and c != "price"])
+    return rounded(rows, 5, [c for c, t in rows.dtypes if t == "double" and c != "price"])

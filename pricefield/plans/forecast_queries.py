@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import ensemble, forecasters, metrics, profile, scaling, sequences
@@ -235,7 +235,9 @@ def _(spark, d):
 def split_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-week windows per commodity on prices in units of the whole table's range."""
     rows = scaling.scale(daily_filled(spark, sf_dir), ["price"], "minmax")
-    rows = series_index(rows.withColumn("day", F.unix_date("date")), KEY, "date", "day")
+    # Day grain: one row per day, so the index needs no split by day.
+    day = F.row_number().over(Window.partitionBy(*KEY).orderBy("date")) - 1
+    rows = rows.withColumn("idx", day.cast("long"))
     wins = sequences.sequence_windows(rows, KEY, ["price"], "price", 14)
     return sequences.chrono_split(wins, KEY)
 

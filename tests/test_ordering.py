@@ -97,10 +97,12 @@ def test_fill_rows_across_blocks(spark, quotes, block_rows, series):
     np.testing.assert_array_equal(merged["y"], merged["f"])
 
 
+@pytest.mark.parametrize("hot_rows", [0, 200, 10_000])
 @pytest.mark.parametrize("by", [[], ["k"]])
-def test_exact_quantiles_equal_pandas(df, quotes, by):
+def test_exact_quantiles_equal_pandas(df, quotes, by, hot_rows):
     probs = {"a": 0.0, "b": 0.01, "c": 0.25, "d": 0.5, "e": 0.995, "f": 1.0}
-    got = o.exact_quantiles(df, "x", probs, by).toPandas()
+    got = o.exact_quantiles(df, "x", probs, by, hot_rows).toPandas()
+    assert len(got) == (3 if by else 1)
     for _, row in got.iterrows():
         part = quotes if not by else quotes[quotes["k"] == row["k"]]
         for name, p in probs.items():
