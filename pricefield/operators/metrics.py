@@ -90,9 +90,10 @@ def forecast_metrics(
 def information_coefficient(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Spearman correlation per model, ties by average rank."""
     by = list(by)
-    pairs = df.select(*by, "y_true", "y_pred").where("y_true IS NOT NULL AND y_pred IS NOT NULL")
+    known = df.select(*by, "y_true", "y_pred").where("y_true IS NOT NULL AND y_pred IS NOT NULL")
+    pairs = known
     for side in ("y_true", "y_pred"):
-        ranks = value_positions(pairs, by, side).select(*by, side, average_rank().alias(f"_r_{side}"))
+        ranks = value_positions(known, by, side).select(*by, side, average_rank().alias(f"_r_{side}"))
         pairs = pairs.join(ranks, [*by, side])
     a, b = F.col("_r_y_true"), F.col("_r_y_pred")
     spread = F.stddev_pop(a) * F.stddev_pop(b)

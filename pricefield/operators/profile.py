@@ -110,12 +110,12 @@ def histogram(df: DataFrame, x: str, bins: int = 50) -> DataFrame:
 
     When all values are equal the range is widened by a half on both sides.
     """
-    lo, hi = F.min(x), F.max(x)
-    pad = F.when(lo == hi, F.lit(0.5)).otherwise(F.lit(0.0))
-    ends = df.agg(F.struct((lo - pad).alias("lo"), (hi + pad).alias("hi")).alias("s")).scalar()
-    lo, hi = ends.getField("lo"), ends.getField("hi")
+    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    if lo is not None and lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    lo, hi = F.lit(lo).cast("double"), F.lit(hi).cast("double")
     width = (hi - lo) / bins
-    place = F.least(F.floor(F.try_divide(F.col(x) - lo, width)), F.lit(bins - 1))
+    place = F.least(F.floor((F.col(x) - lo) / width), F.lit(bins - 1))
     counts = df.where(F.col(x).isNotNull()).groupBy(place.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -129,8 +129,8 @@ def histogram_prices(df: DataFrame, x: str = "price", bins: int = 50, exact: boo
     top = quantile_values(df, x, {"q": 0.99}, exact)["q"]
     kept = df.where((F.col(x) > 0) & (F.col(x) < top))
     mid = quantile_values(kept, x, {"q": 0.5}, exact)["q"]
-    mean = kept.agg(F.avg(x).alias("m")).scalar()
-    return histogram(kept, x, bins).withColumns({"mean": mean, "median": F.lit(mid)})
+    mean = kept.agg(F.avg(x)).first()[0]
+    return histogram(kept, x, bins).withColumns({"mean": F.lit(mean), "median": F.lit(mid)})
 
 
 def boxplot_stats(df: DataFrame, by: str, x: str, exact: bool = True) -> DataFrame:
@@ -192,11 +192,10 @@ def radar_scores(results: DataFrame) -> DataFrame:
 
 # --- chart tables of forecasts ---------------------------------------------------------------
 
-def systematic_sample(df: DataFrame, idx: str, most: int, n: Column | None = None) -> DataFrame:
+def systematic_sample(df: DataFrame, idx: str, most: int, n: int | None = None) -> DataFrame:
     """Every (n div most)-th row along idx when there are more than `most` rows."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar() if n is None else n
-    step = F.greatest(F.floor(total / most), F.lit(1))
-    return df.where(F.col(idx) % F.when(total > most, step).otherwise(F.lit(1)) == 0)
+    total = df.count() if n is None else n
+    return df.where(F.col(idx) % max(1, total // most) == 0)
 
 
 def error_by_quarter(df: DataFrame, by: Sequence[str], place: str = "place", parts: int = 4) -> DataFrame:
@@ -266,8 +265,8 @@ def predictions_overlay(
     df: DataFrame, models: Sequence[str], keys: Sequence[str], idx: str = "idx", most: int = 5000
 ) -> DataFrame:
     """Actual value and one column per model, sampled along idx."""
-    longest = df.agg(F.max(idx).alias("n")).scalar() + 1
-    rows = systematic_sample(df, idx, most, longest)
+    longest = df.agg(F.max(idx)).first()[0]
+    rows = systematic_sample(df, idx, most, 1 + (longest if longest is not None else 0))
     wide = rows.groupBy(*keys, idx).pivot("model", sorted(models)).agg(F.first("y_pred"))
     actual = rows.groupBy(*keys, idx).agg(F.first("y_true").alias("y_true"))
     return actual.join(wide, [*keys, idx])

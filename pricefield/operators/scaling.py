@@ -1,4 +1,4 @@
-"""Column scalers. Statistics are one row, read as a scalar subquery."""
+"""Column scalers. Fitting fetches one row of statistics; scaling is then a projection."""
 
 from __future__ import annotations
 
@@ -10,41 +10,39 @@ from pyspark.sql import functions as F
 from .ordering import quantile_values
 
 
-def _stats(df: DataFrame, aggs: dict[str, Column], fit_on: Column | None) -> Column:
+Stats = dict[str, tuple[Column, Column]]
+
+
+def _fit(df: DataFrame, aggs: dict[str, Column], fit_on: Column | None) -> dict[str, float]:
     rows = df if fit_on is None else df.where(fit_on)
-    one = rows.agg(*[c.alias(k) for k, c in aggs.items()])
-    return one.select(F.struct(*aggs).alias("s")).scalar()
+    return rows.agg(*[c.alias(k) for k, c in aggs.items()]).first().asDict()
+
 
+def _pair(shift: float | None, size: float | None) -> tuple[Column, Column]:
+    return F.lit(shift).cast("double"), F.lit(size or 1.0).cast("double")
 
-def minmax_stats(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None) -> dict[str, tuple[Column, Column]]:
+
+def minmax_stats(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None) -> Stats:
     """(shift, scale) per column; a constant column is scaled by 1."""
-    aggs = {f"{f}_{c}": g(c) for c in cols for f, g in (("lo", F.min), ("hi", F.max))}
-    s = _stats(df, aggs, fit_on)
-    out = {}
-    for c in cols:
-        span = s.getField(f"hi_{c}") - s.getField(f"lo_{c}")
-        out[c] = (s.getField(f"lo_{c}"), F.when(span == 0, F.lit(1.0)).otherwise(span))
-    return out
+    ends = _fit(df, {f"{f}_{c}": g(c) for c in cols for f, g in (("lo", F.min), ("hi", F.max))}, fit_on)
+    return {c: _pair(ends[f"lo_{c}"], (ends[f"hi_{c}"] or 0) - (ends[f"lo_{c}"] or 0)) for c in cols}
 
 
-def standard_stats(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None) -> dict[str, tuple[Column, Column]]:
-    aggs = {f"{f}_{c}": g(c) for c in cols for f, g in (("mean", F.avg), ("std", F.stddev_pop))}
-    s = _stats(df, aggs, fit_on)
-    out = {}
-    for c in cols:
-        std = s.getField(f"std_{c}")
-        out[c] = (s.getField(f"mean_{c}"), F.when(std == 0, F.lit(1.0)).otherwise(std))
-    return out
+def standard_stats(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None) -> Stats:
+    """Mean and population deviation."""
+    fit = _fit(df, {f"{f}_{c}": g(c) for c in cols for f, g in (("mean", F.avg), ("std", F.stddev_pop))}, fit_on)
+    return {c: _pair(fit[f"mean_{c}"], fit[f"std_{c}"]) for c in cols}
 
 
 def robust_stats(
     df: DataFrame, cols: Sequence[str], fit_on: Column | None = None, exact: bool = True
-) -> dict[str, tuple[Column, Column]]:
+) -> Stats:
+    """Median and quartile span."""
     rows = df if fit_on is None else df.where(fit_on)
     out = {}
     for c in cols:
         q = quantile_values(rows, c, {"lo": 0.25, "mid": 0.5, "hi": 0.75}, exact)
-        out[c] = (F.lit(q["mid"]), F.lit((q["hi"] - q["lo"]) or 1.0))
+        out[c] = _pair(q["mid"], q["hi"] - q["lo"])
     return out
 
 

@@ -47,15 +47,16 @@ def split_column(position: Column, n: Column, train: float = 0.70, val: float =
 
 
 def chrono_split(
-    df: DataFrame, series: Sequence[str] = (), idx: str = "idx", train: float = 0.70, val: float = 0.15
+    df: DataFrame, series: Sequence[str] = (), idx: str = "idx", train: float = 0.70, val: float = 0.15,
+    n: int | None = None,
 ) -> DataFrame:
-    """Add `split`. Sizes are counted per series, or once for the whole table."""
+    """Add `split`. Sizes are counted per series, or once for the whole table unless n is given."""
     series = list(series)
     if series:
         sized = df.join(df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n")), series)
         return sized.withColumn("split", split_column(F.col(idx), F.col("_n"), train, val)).drop("_n")
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return df.withColumn("split", split_column(F.col(idx), n, train, val))
+    total = F.lit(df.count() if n is None else n)
+    return df.withColumn("split", split_column(F.col(idx), total, train, val))
 
 
 def window_batches(df: DataFrame, batch: int, idx: str = "idx", seed: int | None = None) -> DataFrame:
@@ -77,50 +78,41 @@ def window_batches(df: DataFrame, batch: int, idx: str = "idx", seed: int | None
     )
 
 
-def _assign_folds(df: DataFrame, idx: str, folds: Column) -> DataFrame:
-    """One row per (row, fold) the row takes part in; folds is an array of bounds."""
+def _assign_folds(df: DataFrame, idx: str, folds: Sequence[Column]) -> DataFrame:
+    """One row per (row, fold) the row takes part in."""
+    if not folds:
+        return df.withColumns({"role": F.lit("train"), "fold": F.lit(0)}).limit(0)
     role = F.when(F.col(idx) < F.col("_f.train_end"), "train").when(
         (F.col(idx) >= F.col("_f.test_start")) & (F.col(idx) < F.col("_f.test_end")), "test"
     )
-    rows = df.withColumn("_f", F.explode(folds)).withColumn("role", role)
+    rows = df.withColumn("_f", F.explode(F.array(*folds))).withColumn("role", role)
     return rows.where("role IS NOT NULL").withColumn("fold", F.col("_f.fold")).drop("_f")
 
 
-def cv_folds(df: DataFrame, n_splits: int = 5, gap: int = 0, idx: str = "idx") -> DataFrame:
+def _bound(fold: int, train_end: int, gap: int, test: int, n: int) -> Column:
+    start = train_end + gap
+    ends = {"fold": fold, "train_end": train_end, "test_start": start, "test_end": min(start + test, n)}
+    return F.struct(*[F.lit(v).alias(k) for k, v in ends.items()])
+
+
+def cv_folds(df: DataFrame, n_splits: int = 5, gap: int = 0, idx: str = "idx", n: int | None = None) -> DataFrame:
     """Expanding folds of equal size; the last test range is cut at the end."""
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    size = F.floor(n / (n_splits + 1)).cast("long")
-    bounds = [
-        F.struct(
-            F.lit(i).alias("fold"),
-            (size * (i + 1)).alias("train_end"),
-            (size * (i + 1) + gap).alias("test_start"),
-            F.least(size * (i + 2) + gap, n).alias("test_end"),
-        )
-        for i in range(n_splits)
-    ]
-    return _assign_folds(df, idx, F.array(*bounds))
+    n = df.count() if n is None else n
+    size = n // (n_splits + 1)
+    return _assign_folds(df, idx, [_bound(i, size * (i + 1), gap, size, n) for i in range(n_splits)])
 
 
 def cv_folds_sized(
     df: DataFrame, n_splits: int = 5, gap: int = 0, min_train: int | None = None,
-    test_size: int | None = None, idx: str = "idx",
+    test_size: int | None = None, idx: str = "idx", n: int | None = None,
 ) -> DataFrame:
     """Expanding folds of given sizes; a fold whose test range passes the end is left out."""
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    share = F.floor(n / (n_splits + 1)).cast("long")
-    test = F.lit(test_size).cast("long") if test_size is not None else share
-    first = F.lit(min_train).cast("long") if min_train is not None else share
-    bounds = []
-    for i in range(n_splits):
-        train_end = first + test * i
-        test_end = train_end + gap + test
-        bound = F.struct(
-            F.lit(i).alias("fold"), train_end.alias("train_end"),
-            (train_end + gap).alias("test_start"), test_end.alias("test_end"),
-        )
-        bounds.append(F.when(test_end <= n, bound))
-    return _assign_folds(df, idx, F.array(*bounds))
+    n = df.count() if n is None else n
+    share = n // (n_splits + 1)
+    test = share if test_size is None else test_size
+    first = share if min_train is None else min_train
+    fits = [i for i in range(n_splits) if first + test * (i + 1) + gap <= n]
+    return _assign_folds(df, idx, [_bound(i, first + test * i, gap, test, n) for i in fits])
 
 
 def cv_summary(scores: DataFrame, metrics: Sequence[str]) -> DataFrame:

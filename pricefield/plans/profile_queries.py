@@ -166,4 +166,4 @@ def _(spark, d):
     SELECT idx, row_id, price FROM i, st WHERE idx % step = 0""")
 def _(spark, d):
     rows = series_index(prices_orders(spark, d), [], "date", "row_id")
-    return profile.systematic_sample(rows, "idx", 5000).select("idx", "row_id", "price")
+    return profile.systematic_sample(rows, "idx", 5000, prices_orders(spark, d).count()).select("idx", "row_id", "price")

@@ -32,7 +32,7 @@ def _(spark, d):
     SELECT row_id, idx, CASE WHEN idx < floor(n * 0.7::DOUBLE) THEN 'train' WHEN idx < floor(n * 0.85::DOUBLE) THEN 'val'
                              ELSE 'test' END AS split FROM i""")
 def _(spark, d):
-    return sequences.chrono_split(indexed(spark, d)).select("row_id", "idx", "split")
+    return sequences.chrono_split(indexed(spark, d), n=prices_orders(spark, d).count()).select("row_id", "idx", "split")
 
 
 def summed_windows(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,7 +86,8 @@ def _(spark, d):
           FROM i CROSS JOIN f)
     SELECT row_id, idx, fold, role FROM x WHERE role IS NOT NULL""")
 def _(spark, d):
-    return sequences.cv_folds(indexed(spark, d), 5, gap=10).select("row_id", "idx", "fold", "role")
+    n = prices_orders(spark, d).count()
+    return sequences.cv_folds(indexed(spark, d), 5, gap=10, n=n).select("row_id", "idx", "fold", "role")
 
 
 @query("cv_folds_sized", f"""
@@ -97,7 +98,8 @@ def _(spark, d):
           FROM i CROSS JOIN f WHERE 2000 + (fold + 1) * (n // 7) + 5 <= n)
     SELECT row_id, idx, fold, role FROM x WHERE role IS NOT NULL""")
 def _(spark, d):
-    folds = sequences.cv_folds_sized(indexed(spark, d), 6, gap=5, min_train=2000)
+    n = prices_orders(spark, d).count()
+    folds = sequences.cv_folds_sized(indexed(spark, d), 6, gap=5, min_train=2000, n=n)
     return folds.select("row_id", "idx", "fold", "role")
 
 
