@@ -54,10 +54,10 @@ def series_index(
     share = (F.col(tiebreak) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
     cut = F.floor(share * F.ceil(F.col("_n") / hot_rows)).cast("long")
     # At most rows/hot_rows dates are crowded, so this side is small by construction.
-    crowded = days.where(F.col("_n") > hot_rows).select(*keys, "_n", "_lo", "_hi")
+    crowded = F.broadcast(days.where(F.col("_n") > hot_rows).select(*keys, "_n", "_lo", "_hi"))
     slices = (
         df.select(*keys, tiebreak)
-        .join(F.broadcast(crowded), keys)
+        .join(crowded, keys)
         .groupBy(*keys, cut.alias("_slice"))
         .agg(F.count(F.lit(1)).alias("_sn"))
     )
@@ -65,13 +65,16 @@ def series_index(
         *keys, "_slice",
         F.coalesce(F.sum("_sn").over(running(keys, "_slice", -1)), F.lit(0)).alias("_inner"),
     )
-    rows = df.join(days, keys).withColumn(
-        "_slice", F.when(F.col("_n") > hot_rows, cut).otherwise(F.lit(0).cast("long"))
+    none = F.lit(0).cast("long")
+    starts = days.select(*keys, "_start").join(F.broadcast(slices), keys, "left").select(
+        *keys, F.coalesce("_slice", none).alias("_slice"),
+        (F.col("_start") + F.coalesce("_inner", none)).alias("_start"),
     )
-    rows = rows.join(F.broadcast(slices), [*keys, "_slice"], "left")
+    # Rows learn their slice before they are shuffled, so a crowded date is spread by slice.
+    rows = df.join(crowded, keys, "left").withColumn("_slice", F.coalesce(cut, none))
+    rows = rows.join(starts, [*keys, "_slice"])
     place = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(tiebreak)) - 1
-    position = F.col("_start") + F.coalesce(F.col("_inner"), F.lit(0)) + place
-    return rows.select(*df.columns, position.cast("long").alias(idx))
+    return rows.select(*df.columns, (F.col("_start") + place).cast("long").alias(idx))
 
 
 # --- bounded frames over any number of rows ----------------------------------------
@@ -147,17 +150,18 @@ def order_bucket(value: Column | str) -> Column:
 
 
 def value_positions(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """One row per (by, value): `n` equal rows and `start` smaller rows in the group."""
+    """One row per (by, value): `n` equal rows, `start` smaller and `total` rows in the group."""
     counts = (
         df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
     ).withColumn("_b", order_bucket(value))
     buckets = counts.groupBy(*by, "_b").agg(F.sum("n").alias("_bn"))
     buckets = buckets.select(
-        *by, "_b", F.coalesce(F.sum("_bn").over(running(by, "_b", -1)), F.lit(0)).alias("_bstart")
+        *by, "_b", F.coalesce(F.sum("_bn").over(running(by, "_b", -1)), F.lit(0)).alias("_bstart"),
+        F.sum("_bn").over(Window.partitionBy(*by)).alias("total"),
     )
     smaller = F.coalesce(F.sum("n").over(running([*by, "_b"], value, -1)), F.lit(0))
     return counts.join(buckets, [*by, "_b"]).select(
-        *by, value, "n", (F.col("_bstart") + smaller).alias("start")
+        *by, value, "n", (F.col("_bstart") + smaller).alias("start"), "total"
     )
 
 
@@ -174,7 +178,7 @@ def sorted_rows(positions: DataFrame, chunk: int = BLOCK_ROWS) -> DataFrame:
     cols = positions.columns
     last = F.floor((F.col("n") - 1) / chunk).cast("long")
     chunks = positions.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    chunks = chunks.repartition(*[c for c in cols if c not in ("n", "start")], "_chunk")
+    chunks = chunks.repartition(*[c for c in cols if c not in ("n", "start", "total")], "_chunk")
     first = F.col("_chunk") * chunk
     upto = F.least(F.col("n"), first + chunk) - 1
     return chunks.withColumn("_i", F.explode(F.sequence(first, upto))).select(

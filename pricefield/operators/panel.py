@@ -15,6 +15,7 @@ from ..functions.arithmetic import clip, zero_if_not_finite
 from ..functions.calendar import cyclic_features
 from ..functions.text import clean_name
 from .cleaning import fence_iqr, filter_category, flag_name, top_names
+from .joins import attach
 from .ordering import BLOCK_ROWS, block_window, own_rows, series_index, with_blocks
 
 PANEL_WINDOWS = [7, 14, 30]
@@ -38,8 +39,8 @@ def group_stats(df: DataFrame, key: str, x: str = "price_log") -> DataFrame:
 
 
 def join_group_stats(df: DataFrame, key: str, x: str = "price_log") -> DataFrame:
-    """Stats onto rows. A plain join: it is broadcast when small, and split when one key is hot."""
-    return df.join(group_stats(df, key, x), key, "left")
+    """Stats of each key onto its rows."""
+    return attach(df, group_stats(df, key, x), [key], "left")
 
 
 def zscore(df: DataFrame, x: str = "price_log") -> DataFrame:

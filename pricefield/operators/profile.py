@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.arithmetic import nan_to_null
+from .joins import attach
 from .ordering import quantile_values, quantiles, sorted_rows, value_positions
 
 
@@ -136,13 +137,15 @@ def histogram_prices(df: DataFrame, x: str = "price", bins: int = 50, exact: boo
 def boxplot_stats(df: DataFrame, by: str, x: str, exact: bool = True) -> DataFrame:
     """Quartiles, whiskers at the last point inside 1.5 spans, outlier count per group."""
     quart = quantiles(df, x, QUARTILES, [by], exact)
-    rows = df.select(by, x).where(F.col(x).isNotNull()).join(quart, by)
+    # Equal values are counted first: copies of one quote do not travel one by one.
+    counted = df.where(F.col(x).isNotNull()).groupBy(by, x).agg(F.count(F.lit(1)).alias("_n"))
+    rows = attach(counted, quart, [by])
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     inside = F.col(x).between(F.col("q25") - reach, F.col("q75") + reach)
     return rows.groupBy(by, "q25", "q50", "q75").agg(
         F.min(F.when(inside, F.col(x))).alias("whisker_low"),
         F.max(F.when(inside, F.col(x))).alias("whisker_high"),
-        F.sum((~inside).cast("long")).alias("n_outliers"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("_n"))).alias("n_outliers"), F.sum("_n").alias("n"),
     )
 
 
@@ -202,7 +205,7 @@ def error_by_quarter(df: DataFrame, by: Sequence[str], place: str = "place", par
     """|error| in consecutive parts of n div 4 rows; the rest goes to the last part."""
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     part = F.least(F.floor(F.try_divide(F.col(place), F.floor(F.col("_n") / parts))), F.lit(parts - 1))
-    rows = df.join(sizes, list(by)).withColumn("quarter", F.coalesce(part, F.lit(parts - 1)).cast("int") + 1)
+    rows = attach(df, sizes, by).withColumn("quarter", F.coalesce(part, F.lit(parts - 1)).cast("int") + 1)
     err = F.abs(F.col("y_true") - F.col("y_pred"))
     return rows.groupBy(*by, "quarter").agg(
         F.count(F.lit(1)).alias("n"), F.avg(err).alias("mean_abs_error"), F.max(err).alias("max_abs_error")
@@ -213,9 +216,8 @@ def error_ecdf(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Sorted |error| against i/n, one row per forecast."""
     by = list(by)
     errs = df.select(*by, F.abs(F.col("y_true") - F.col("y_pred")).alias("abs_error"))
-    sizes = errs.groupBy(*by).agg(F.count("abs_error").alias("_n"))
-    rows = sorted_rows(value_positions(errs, by, "abs_error")).join(sizes, by)
-    return rows.select(*by, "abs_error", "place", (F.col("place") / F.col("_n")).alias("cumulative"))
+    rows = sorted_rows(value_positions(errs, by, "abs_error"))
+    return rows.select(*by, "abs_error", "place", (F.col("place") / F.col("total")).alias("cumulative"))
 
 
 def error_boxplot(df: DataFrame, by: str = "model", exact: bool = True) -> DataFrame:
@@ -253,9 +255,8 @@ def qq_points(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Sorted residuals against normal quantiles at Filliben's plotting positions."""
     by = list(by)
     errs = df.select(*by, (F.col("y_true") - F.col("y_pred")).alias("residual"))
-    sizes = errs.groupBy(*by).agg(F.count("residual").cast("double").alias("_n"))
-    rows = sorted_rows(value_positions(errs, by, "residual")).join(sizes, by)
-    n, i = F.col("_n"), F.col("place")
+    rows = sorted_rows(value_positions(errs, by, "residual"))
+    n, i = F.col("total").cast("double"), F.col("place")
     end = F.pow(F.lit(0.5), 1 / n)
     spot = F.when(i == 1, 1 - end).when(i == n, end).otherwise((i - 0.3175) / (n + 0.365))
     return rows.select(*by, "place", "residual", inverse_normal(spot).alias("quantile"))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import BLOCK_ROWS, block_window, own_rows, with_blocks
+from .joins import attach
+from .ordering import BLOCK_ROWS, block_window, own_rows, series_index, with_blocks
 
 
 def sequence_windows(
@@ -53,7 +54,7 @@ def chrono_split(
     """Add `split`. Sizes are counted per series, or once for the whole table unless n is given."""
     series = list(series)
     if series:
-        sized = df.join(df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n")), series)
+        sized = attach(df, df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n")), series)
         return sized.withColumn("split", split_column(F.col(idx), F.col("_n"), train, val)).drop("_n")
     total = F.lit(df.count() if n is None else n)
     return df.withColumn("split", split_column(F.col(idx), total, train, val))
@@ -67,8 +68,6 @@ def window_batches(df: DataFrame, batch: int, idx: str = "idx", seed: int | None
     """
     if seed is None:
         return df.withColumn("batch_id", F.floor(F.col(idx) / batch).cast("long"))
-    from .ordering import series_index
-
     hashed = df.withColumn("_h", F.xxhash64(idx, F.lit(seed))).withColumn(
         "_bucket", F.pmod("_h", F.lit(4096))
     )

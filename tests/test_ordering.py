@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricefield.operators import ordering as o
 from pricefield.operators import panel, sequences
+from pricefield.operators.joins import attach
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +142,24 @@ def test_hash_batches_are_a_permutation(spark):
     assert sorted(got.groupby("batch_id").size()) == sorted([64] * 15 + [40])
     plain = sequences.window_batches(rows, 64).toPandas()
     assert (got.sort_values("idx")["batch_id"].to_numpy() != plain.sort_values("idx")["batch_id"].to_numpy()).any()
+
+
+@pytest.mark.parametrize("limit", [0, 2, 100])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_attach_by_broadcast_and_by_salt(df, quotes, limit, how):
+    small = df.where("k <> 'c'").groupBy("k").agg(F.sum("x").alias("total"))
+    got = attach(df, small, ["k"], how, limit=limit, salts=8).toPandas()
+    want = quotes if how == "left" else quotes[quotes["k"] != "c"]
+    assert len(got) == len(want)
+    sums = quotes[quotes["k"] != "c"].groupby("k")["x"].sum()
+    merged = got.set_index("row_id")["total"].reindex(want["row_id"])
+    np.testing.assert_allclose(merged, want["k"].map(sums), equal_nan=True)
+
+
+def test_crowded_date_is_spread_by_slice(df):
+    rows = o.series_index(df, ["k"], "date", "row_id", hot_rows=50)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    window = next(line for line in text.splitlines() if "Window [row_number()" in line)
+    assert "_slice" in window
+    wide = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "_slice" in line]
+    assert wide, "rows are shuffled by slice, not by date alone"
