@@ -11,6 +11,7 @@ from ..operators import ensemble, forecasters, metrics, profile, scaling, sequen
 from ..operators.daily import future_frame
 from ..operators.ordering import series_index
 from ..session import shared_folder
+from ..sources.files import materialize
 from ..sources.views import daily_filled, forecasts, prices_orders
 from .ingest_queries import RESULTS_SQL, results_table
 from .registry import query, r, rounded, s, single, t, tidy
@@ -239,7 +240,8 @@ def split_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.row_number().over(Window.partitionBy(*KEY).orderBy("date")) - 1
     rows = rows.withColumn("idx", day.cast("long"))
     wins = sequences.sequence_windows(rows, KEY, ["price"], "price", 14)
-    return sequences.chrono_split(wins, KEY)
+    # The fit reads its windows more than once.
+    return materialize(sequences.chrono_split(wins, KEY), "windows")
 
 
 @query("window_regressor")

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.arithmetic import number
 from ..functions.text import strict_date
-from ..operators import profile
+from ..operators import daily, profile
 from ..operators.metrics import mae, mape, r2, rmse
 from ..sources import adapters
 from ..sources.schemas import column_or, normalize_header
 from ..sources.views import daily_commodity, forecasts, prices_events, prices_orders, prices_quotes
-from .registry import query, r, rounded
+from .flows import combine_sources, preprocess_quotes
+from .registry import query, r, rounded, s, single
 
 
 # Raw text layouts made from the test tables. Some cells are spoiled on purpose.
@@ -223,3 +224,46 @@ def _(spark, d):
     SELECT row_id, lower(trim(' ' || commodity || '  ')) AS commodity FROM prices_orders""")
 def _(spark, d):
     return raw_mandi(spark, d).select("row_id", F.lower(F.trim("Commodity")).alias("commodity"))
+
+
+# --- flows -----------------------------------------------------------------------------
+
+COMBINED_SQL = """
+    WITH u AS (SELECT date, price, lower(commodity) AS commodity, 'agriculture_india' AS source, 0 AS priority
+      FROM prices_orders WHERE row_id % 97 <> 0 AND row_id % 89 <> 0
+      UNION ALL SELECT date, price, commodity, source, 1 FROM prices_events
+      UNION ALL SELECT date, price, lower(commodity), 'india_wfp', 2 FROM prices_orders WHERE row_id % 97 <> 0),
+    dd AS (SELECT date, price, commodity, arg_min(source, priority) AS source FROM u GROUP BY date, price, commodity),
+    q AS (SELECT quantile_cont(price, 0.005) AS a, quantile_cont(price, 0.995) AS b FROM dd),
+    kept AS (SELECT dd.* FROM dd, q WHERE price > 0 AND price >= a AND price <= b)"""
+
+
+def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine_sources([
+        adapters.mandi(raw_mandi(spark, sf_dir), trim=True), prices_events(spark, sf_dir),
+        adapters.wfp_india(raw_iso(spark, sf_dir)),
+    ])
+
+
+@query("combined_all", f"{COMBINED_SQL} SELECT date, price, commodity, source FROM kept")
+def _(spark, d):
+    return combined(spark, d)
+
+
+@query("combined_daily", f"{COMBINED_SQL} SELECT date, {s('avg(price)', 'price')}, count(*) AS n_records FROM kept GROUP BY date")
+def _(spark, d):
+    return single(daily.daily_mean_count(combined(spark, d), []))
+
+
+@query("preprocess_quotes", """
+    WITH raw AS (SELECT row_id, date, commodity, CASE WHEN row_id % 89 <> 0 THEN price END AS p FROM prices_orders
+                 WHERE row_id % 97 <> 0),
+    filled AS (SELECT row_id, date, commodity, coalesce(
+        last_value(p IGNORE NULLS) OVER (ORDER BY date, row_id ROWS UNBOUNDED PRECEDING),
+        first_value(p IGNORE NULLS) OVER (ORDER BY date, row_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS modal_price FROM raw),
+    q AS (SELECT quantile_cont(modal_price, 0.01) AS a, quantile_cont(modal_price, 0.99) AS b FROM filled)
+    SELECT row_id, date, trim(commodity) AS commodity, modal_price FROM filled, q
+    WHERE modal_price BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)""")
+def _(spark, d):
+    rows = preprocess_quotes(raw_mandi(spark, d), "row_id")
+    return rows.select("row_id", "date", F.trim("commodity").alias("commodity"), "modal_price")

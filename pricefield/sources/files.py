@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.profile import rank_results
+from ..session import shared_folder
 from .adapters import ADAPTERS
 from .schemas import RESULTS
 
@@ -84,3 +86,8 @@ def append_results(spark: SparkSession, old_path: str, new_rows: DataFrame, new_
     return out
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write df to a new table in the shared folder and read it back: a cut of a long lineage."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
