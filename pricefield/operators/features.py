@@ -40,25 +40,31 @@ class Frames:
 
 
 # --- lags --------------------------------------------------------------------------
+# Window values are computed once as plain columns (`_lag_7`, `_skew_14`); what is derived
+# from them reads those columns, so no window function is evaluated twice.
 
-def lag_columns(f: Frames, x: str, lags: Sequence[int] = LAGS) -> dict[str, Column]:
-    return {f"price_lag_{k}": f.lag(x, k) for k in lags}
+def past_columns(f: Frames, x: str, lags: Sequence[int] = LAGS) -> dict[str, Column]:
+    return {f"_lag_{k}": f.lag(x, k) for k in lags}
 
 
-def diff_columns(f: Frames, x: str, lags: Sequence[int] = LAGS) -> dict[str, Column]:
-    return {f"price_diff_{k}": F.col(x) - f.lag(x, k) for k in lags}
+def lag_columns(lags: Sequence[int] = LAGS) -> dict[str, Column]:
+    return {f"price_lag_{k}": F.col(f"_lag_{k}") for k in lags}
 
 
-def change(f: Frames, x: str, k: int) -> Column:
-    return div_inf(F.col(x), f.lag(x, k)) - 1
+def diff_columns(x: str, lags: Sequence[int] = LAGS) -> dict[str, Column]:
+    return {f"price_diff_{k}": F.col(x) - F.col(f"_lag_{k}") for k in lags}
 
 
-def pct_change_columns(f: Frames, x: str, lags: Sequence[int] = LAGS) -> dict[str, Column]:
-    return {f"price_pct_change_{k}": change(f, x, k) * 100 for k in lags}
+def change(x: str, k: int) -> Column:
+    return div_inf(F.col(x), F.col(f"_lag_{k}")) - 1
 
 
-def momentum_columns(f: Frames, x: str) -> dict[str, Column]:
-    return {f"momentum_{name}": F.col(x) - f.lag(x, k) for name, k in MOMENTUM.items()}
+def pct_change_columns(x: str, lags: Sequence[int] = LAGS) -> dict[str, Column]:
+    return {f"price_pct_change_{k}": change(x, k) * 100 for k in lags}
+
+
+def momentum_columns(x: str) -> dict[str, Column]:
+    return {f"momentum_{name}": F.col(x) - F.col(f"_lag_{k}") for name, k in MOMENTUM.items()}
 
 
 # --- trailing frames ---------------------------------------------------------------
@@ -83,21 +89,31 @@ def median_columns(f: Frames, x: str, windows: Sequence[int] = WINDOWS) -> dict[
     return {f"rolling_median_{k}": F.percentile(x, 0.5).over(f.last(k)) for k in windows}
 
 
-def _shape(f: Frames, x: str, k: int):
-    fr = f.last(k)
-    return F.count(x).over(fr).cast("double"), F.min(x).over(fr), F.max(x).over(fr)
+def shape_columns(f: Frames, x: str, windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
+    """Row count, population skewness and kurtosis per frame."""
+    out = {}
+    for k in windows:
+        out[f"_n_{k}"] = F.count(x).over(f.last(k)).cast("double")
+        out[f"_skew_{k}"] = F.skewness(x).over(f.last(k))
+        out[f"_kurt_{k}"] = F.kurtosis(x).over(f.last(k))
+    return out
 
 
-def skew_columns(f: Frames, x: str, windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
+def skew_columns(windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
+    """From `shape_columns` and `min_max_columns`."""
     return {
-        f"rolling_skew_{k}": sample_skew(F.skewness(x).over(f.last(k)), *_shape(f, x, k)) for k in windows
+        f"rolling_skew_{k}": sample_skew(
+            F.col(f"_skew_{k}"), F.col(f"_n_{k}"), F.col(f"rolling_min_{k}"), F.col(f"rolling_max_{k}"))
+        for k in windows
     }
 
 
-def kurt_columns(f: Frames, x: str, windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
-    # A frame of fewer than four rows asks for as many rows as it has and stays NULL.
+def kurt_columns(windows: Sequence[int] = WINDOWS) -> dict[str, Column]:
+    # A frame shorter than four rows never has enough of them and stays NULL.
     return {
-        f"rolling_kurt_{k}": sample_kurt(F.kurtosis(x).over(f.last(k)), *_shape(f, x, k)) for k in windows
+        f"rolling_kurt_{k}": sample_kurt(
+            F.col(f"_kurt_{k}"), F.col(f"_n_{k}"), F.col(f"rolling_min_{k}"), F.col(f"rolling_max_{k}"))
+        for k in windows
     }
 
 
@@ -193,9 +209,9 @@ def _with_signal(df: DataFrame, series: Sequence[str], signal: int) -> DataFrame
 
 # --- indicators --------------------------------------------------------------------
 
-def move_columns(f: Frames, x: str) -> dict[str, Column]:
+def move_columns(x: str) -> dict[str, Column]:
     """Rise and fall against the row before; the first row counts as 0 and 0."""
-    step = F.col(x) - f.lag(x, 1)
+    step = F.col(x) - F.col("_lag_1")
     return {
         "_gain": F.when(step > 0, step).otherwise(F.lit(0.0)),
         "_loss": F.when(step < 0, -step).otherwise(F.lit(0.0)),
@@ -210,9 +226,14 @@ def rsi_columns(f: Frames, periods: Sequence[int] = RSI_PERIODS) -> dict[str, Co
     return out
 
 
-def bollinger_columns(f: Frames, x: str, window: int = 20, width: float = 2.0) -> dict[str, Column]:
-    mid = F.avg(x).over(f.last(window))
-    half = F.stddev_samp(x).over(f.last(window)) * width
+def band_columns(f: Frames, x: str, window: int = 20) -> dict[str, Column]:
+    fr = f.last(window)
+    return {"_mid": F.avg(x).over(fr), "_sd": F.stddev_samp(x).over(fr), "_seen": F.collect_list(x).over(fr)}
+
+
+def bollinger_columns(x: str, width: float = 2.0) -> dict[str, Column]:
+    """From `band_columns`."""
+    mid, half = F.col("_mid"), F.col("_sd") * width
     upper, lower = mid + half, mid - half
     return {
         "bb_middle": mid,
@@ -223,23 +244,25 @@ def bollinger_columns(f: Frames, x: str, window: int = 20, width: float = 2.0) -
     }
 
 
-def roc_columns(f: Frames, x: str, periods: Sequence[int] = ROC_PERIODS) -> dict[str, Column]:
+def cci_column(x: str) -> Column:
+    """Distance from the frame's mean over its mean absolute deviation; from `band_columns`."""
+    total = F.aggregate("_seen", F.lit(0.0), lambda acc, v: acc + F.abs(v - F.col("_mid")))
+    return div_inf(F.col(x) - F.col("_mid"), 0.015 * total / F.size("_seen") + EPS)
+
+
+def roc_columns(x: str, periods: Sequence[int] = ROC_PERIODS) -> dict[str, Column]:
     return {
-        f"roc_{k}": div_inf(F.col(x) - f.lag(x, k), f.lag(x, k) + EPS) * 100 for k in periods
+        f"roc_{k}": div_inf(F.col(x) - F.col(f"_lag_{k}"), F.col(f"_lag_{k}") + EPS) * 100 for k in periods
     }
 
 
-def cci_column(f: Frames, x: str, window: int = 20) -> Column:
-    """Distance from the frame's mean over its mean absolute deviation."""
-    seen = F.collect_list(x).over(f.last(window))
-    mean = F.avg(x).over(f.last(window))
-    total = F.aggregate(seen, F.lit(0.0), lambda acc, v: acc + F.abs(v - mean))
-    return div_inf(F.col(x) - mean, 0.015 * total / F.size(seen) + EPS)
+def extreme_columns(f: Frames, x: str, window: int = 14) -> dict[str, Column]:
+    return {"_low": F.min(x).over(f.last(window)), "_high": F.max(x).over(f.last(window))}
 
 
-def stoch_k_column(f: Frames, x: str, window: int = 14) -> Column:
-    low, high = F.min(x).over(f.last(window)), F.max(x).over(f.last(window))
-    return 100 * div_inf(F.col(x) - low, high - low + EPS)
+def stoch_k_column(x: str) -> Column:
+    """From `extreme_columns`."""
+    return 100 * div_inf(F.col(x) - F.col("_low"), F.col("_high") - F.col("_low") + EPS)
 
 
 def stoch_d_column(f: Frames) -> Column:
@@ -248,17 +271,24 @@ def stoch_d_column(f: Frames) -> Column:
 
 # --- proxies -----------------------------------------------------------------------
 
-def change_columns(f: Frames, x: str) -> dict[str, Column]:
-    return {"_chg_30": change(f, x, 30), "_chg_90": change(f, x, 90)}
+def change_columns(x: str) -> dict[str, Column]:
+    return {"_chg_30": change(x, 30), "_chg_90": change(x, 90)}
 
 
 def inflation_columns(f: Frames) -> dict[str, Column]:
     return {f"inflation_proxy_{k}d": F.avg(f"_chg_{k}").over(f.last(30)) * 100 for k in (30, 90)}
 
 
-def demand_column(f: Frames, x: str) -> Column:
-    trend = F.avg(x).over(f.last(30))
-    return div_inf(F.col(x) - trend, trend + EPS)
+def spread_columns(f: Frames, x: str) -> dict[str, Column]:
+    return {
+        "_std_7": F.stddev_samp(x).over(f.last(7)), "_std_30": F.stddev_samp(x).over(f.last(30)),
+        "_trend": F.avg(x).over(f.last(30)),
+    }
+
+
+def demand_column(x: str) -> Column:
+    """From `spread_columns`."""
+    return div_inf(F.col(x) - F.col("_trend"), F.col("_trend") + EPS)
 
 
 def autocorr_column(f: Frames, x: str, past: str, window: int = 14) -> Column:
@@ -272,19 +302,17 @@ def autocorr_column(f: Frames, x: str, past: str, window: int = 14) -> Column:
     return F.when((n > 1) & ~flat, F.try_divide(cov, spread))
 
 
-def std_pair_columns(f: Frames, x: str) -> dict[str, Column]:
-    return {"_std_7": F.stddev_samp(x).over(f.last(7)), "_std_30": F.stddev_samp(x).over(f.last(30))}
-
-
-def supply_disruption_column(series: Sequence[str], strict: bool = False) -> Column:
-    """7-row spread over the series' mean 30-row spread.
-
-    The mean covers the whole series, later days included; strict keeps to the past.
-    """
+def typical_spread_column(series: Sequence[str], strict: bool = False) -> Column:
+    """Mean 30-row spread of the whole series, later days included; strict keeps to the past."""
     whole = Window.partitionBy(*series)
     if strict:
         whole = whole.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    return div_inf(F.col("_std_7"), F.avg("_std_30").over(whole))
+    return F.avg("_std_30").over(whole)
+
+
+def supply_disruption_column() -> Column:
+    """7-row spread over the series' typical 30-row spread, from `_std_7` and `_typical`."""
+    return div_inf(F.col("_std_7"), F.col("_typical"))
 
 
 # --- the whole set -----------------------------------------------------------------
@@ -308,31 +336,34 @@ def all_features(
     spans = {f"ema_{s}": (x, s) for s in EMA_SPANS} | {"_fast": (x, fast), "_slow": (x, slow)}
     rows = with_emas(rows, series, spans).withColumn("macd", F.col("_fast") - F.col("_slow"))
     rows = _with_signal(rows, series, signal)
+    needed = {*lags, *MOMENTUM.values(), *ROC_PERIODS, 1, *((7, 30, 90) if external else ())}
     base = {
-        **lag_columns(f, x, lags), **diff_columns(f, x, lags), **pct_change_columns(f, x, lags),
-        **momentum_columns(f, x),
-        **sma_columns(f, x, windows), **std_columns(f, x, windows), **min_max_columns(f, x, windows),
-        **median_columns(f, x, windows), **skew_columns(f, x, windows), **kurt_columns(f, x, windows),
-        **bollinger_columns(f, x), **roc_columns(f, x), "cci": cci_column(f, x),
-        "stoch_k": stoch_k_column(f, x), **move_columns(f, x),
+        **past_columns(f, x, sorted(needed)), **sma_columns(f, x, windows), **std_columns(f, x, windows),
+        **min_max_columns(f, x, windows), **median_columns(f, x, windows), **shape_columns(f, x, windows),
+        **band_columns(f, x), **extreme_columns(f, x), **(spread_columns(f, x) if external else {}),
     }
-    if external:
-        base |= {
-            **change_columns(f, x), **std_pair_columns(f, x), "demand_index": demand_column(f, x),
-            "_past": f.lag(x, 7),
-        }
     rows = rows.withColumns(base)
-    second = {
-        **range_columns(windows), **price_to_sma_columns(x, windows), **ema_cross_columns(),
-        **rsi_columns(f), "stoch_d": stoch_d_column(f), **calendar_features(),
+    first = {
+        **lag_columns(lags), **diff_columns(x, lags), **pct_change_columns(x, lags), **momentum_columns(x),
+        **skew_columns(windows), **kurt_columns(windows), **range_columns(windows),
+        **price_to_sma_columns(x, windows), **bollinger_columns(x), **roc_columns(x), **ema_cross_columns(),
+        "cci": cci_column(x), "stoch_k": stoch_k_column(x), **move_columns(x), **calendar_features(),
     }
     if external:
-        second |= {
-            **month_indices(), **inflation_columns(f), "global_market_proxy": autocorr_column(f, x, "_past"),
-            "supply_disruption_proxy": supply_disruption_column(series, strict),
+        first |= {
+            **change_columns(x), **month_indices(), "demand_index": demand_column(x),
             "price_pressure": price_pressure_column(),
         }
+    rows = rows.withColumns(first)
+    second = {**rsi_columns(f), "stoch_d": stoch_d_column(f)}
+    if external:
+        second |= {
+            **inflation_columns(f), "global_market_proxy": autocorr_column(f, x, "_lag_7"),
+            "_typical": typical_spread_column(series, strict),
+        }
     rows = rows.withColumns(second)
+    if external:
+        rows = rows.withColumn("supply_disruption_proxy", supply_disruption_column())
     rows = rows.drop(*[c for c in rows.columns if c.startswith("_")])
     names = [c for c in rows.columns if c not in (*series, "date")]
     ints = [n for n, t in rows.dtypes if t in ("int", "bigint")]

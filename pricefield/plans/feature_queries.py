@@ -46,27 +46,27 @@ def r6(e: str, k: str) -> str:
 @query("lag_features", sql({f"price_lag_{k}": lag("price", k) for k in ft.LAGS}, s))
 def _(spark, d):
     df, f = base(spark, d)
-    return single(out(df, ft.lag_columns(f, "price")))
+    return single(out(df.withColumns(ft.past_columns(f, "price")), ft.lag_columns()))
 
 
 @query("diff_features", sql({f"price_diff_{k}": f"price - {lag('price', k)}" for k in ft.LAGS}, t))
 def _(spark, d):
     df, f = base(spark, d)
-    return tidy(out(df, ft.diff_columns(f, "price")))
+    return tidy(out(df.withColumns(ft.past_columns(f, "price")), ft.diff_columns("price")))
 
 
 @query("pct_change_features", sql(
     {f"price_pct_change_{k}": f"100 * (price / {lag('price', k)} - 1)" for k in ft.LAGS}, r6))
 def _(spark, d):
     df, f = base(spark, d)
-    return rounded(out(df, ft.pct_change_columns(f, "price")), 6)
+    return rounded(out(df.withColumns(ft.past_columns(f, "price")), ft.pct_change_columns("price")), 6)
 
 
 @query("momentum_features", sql(
     {f"momentum_{n}": f"price - {lag('price', k)}" for n, k in ft.MOMENTUM.items()}, t))
 def _(spark, d):
     df, f = base(spark, d)
-    return tidy(out(df, ft.momentum_columns(f, "price")))
+    return tidy(out(df.withColumns(ft.past_columns(f, "price", [3, 7, 14])), ft.momentum_columns("price")))
 
 
 @query("sma", sql({f"sma_{k}": f"avg(price) {over(k)}" for k in ft.WINDOWS}, s))
@@ -115,13 +115,13 @@ def _moment(fn: str, k: int, need: int, flat: float) -> str:
 @query("rolling_skew", sql({f"rolling_skew_{k}": _moment("skewness", k, 3, 0.0) for k in ft.WINDOWS}, r4))
 def _(spark, d):
     df, f = base(spark, d)
-    return rounded(out(df, ft.skew_columns(f, "price")), 4)
+    return rounded(out(df.withColumns(ft.min_max_columns(f, "price") | ft.shape_columns(f, "price")), ft.skew_columns()), 4)
 
 
 @query("rolling_kurt", sql({f"rolling_kurt_{k}": _moment("kurtosis", k, 4, -3.0) for k in ft.WINDOWS}, r4))
 def _(spark, d):
     df, f = base(spark, d)
-    return rounded(out(df, ft.kurt_columns(f, "price")), 4)
+    return rounded(out(df.withColumns(ft.min_max_columns(f, "price") | ft.shape_columns(f, "price")), ft.kurt_columns()), 4)
 
 
 # --- exponential means: the recursion itself in SQL ------------------------------------
@@ -183,7 +183,7 @@ MOVES = f"""(SELECT *, greatest(coalesce(price - {lag('price', 1)}, 0), 0) AS ga
     + f" FROM {MOVES}")
 def _(spark, d):
     df, f = base(spark, d)
-    return rounded(out(df.withColumns(ft.move_columns(f, "price")), ft.rsi_columns(f)), 6)
+    return rounded(out(df.withColumns(ft.past_columns(f, "price", [1])).withColumns(ft.move_columns("price")), ft.rsi_columns(f)), 6)
 
 
 @query("bollinger", f"""
@@ -192,13 +192,13 @@ def _(spark, d):
     FROM (SELECT *, avg(price) {over(20)} AS m, stddev_samp(price) {over(20)} AS sd FROM daily_filled)""")
 def _(spark, d):
     df, f = base(spark, d)
-    return tidy(out(df, ft.bollinger_columns(f, "price")))
+    return tidy(out(df.withColumns(ft.band_columns(f, "price")), ft.bollinger_columns("price")))
 
 
 @query("roc", sql({f"roc_{k}": f"100 * (price - {lag('price', k)}) / ({lag('price', k)} + 1e-8)" for k in ft.ROC_PERIODS}, r6))
 def _(spark, d):
     df, f = base(spark, d)
-    return rounded(out(df, ft.roc_columns(f, "price")), 6)
+    return rounded(out(df.withColumns(ft.past_columns(f, "price", ft.ROC_PERIODS)), ft.roc_columns("price")), 6)
 
 
 @query("cci", f"""
@@ -206,7 +206,7 @@ def _(spark, d):
     FROM (SELECT *, avg(price) {over(20)} AS m, list(price) {over(20)} AS xs FROM daily_filled)""")
 def _(spark, d):
     df, f = base(spark, d)
-    return rounded(out(df, {"cci": ft.cci_column(f, "price")}), 5)
+    return rounded(out(df.withColumns(ft.band_columns(f, "price")), {"cci": ft.cci_column("price")}), 5)
 
 
 STOCH = f"100 * (price - min(price) {over(14)}) / (max(price) {over(14)} - min(price) {over(14)} + 1e-8)"
@@ -217,7 +217,7 @@ STOCH = f"100 * (price - min(price) {over(14)}) / (max(price) {over(14)} - min(p
     FROM (SELECT *, {STOCH} AS k FROM daily_filled)""")
 def _(spark, d):
     df, f = base(spark, d)
-    df = df.withColumn("stoch_k", ft.stoch_k_column(f, "price"))
+    df = df.withColumns(ft.extreme_columns(f, "price")).withColumn("stoch_k", ft.stoch_k_column("price"))
     return rounded(out(df, {"stoch_k": F.col("stoch_k"), "stoch_d": ft.stoch_d_column(f)}), 6)
 
 
@@ -227,14 +227,14 @@ def _(spark, d):
     FROM (SELECT *, price / {lag('price', 30)} - 1 AS c30, price / {lag('price', 90)} - 1 AS c90 FROM daily_filled)""")
 def _(spark, d):
     df, f = base(spark, d)
-    return rounded(out(df.withColumns(ft.change_columns(f, "price")), ft.inflation_columns(f)), 6)
+    return rounded(out(df.withColumns(ft.past_columns(f, "price", [30, 90])).withColumns(ft.change_columns("price")), ft.inflation_columns(f)), 6)
 
 
 @query("demand_index", sql(
     {"demand_index": f"(price - avg(price) {over(30)}) / (avg(price) {over(30)} + 1e-8)"}, r6))
 def _(spark, d):
     df, f = base(spark, d)
-    return rounded(out(df, {"demand_index": ft.demand_column(f, "price")}), 6)
+    return rounded(out(df.withColumns(ft.spread_columns(f, "price")), {"demand_index": ft.demand_column("price")}), 6)
 
 
 @query("supply_disruption", f"""
@@ -242,8 +242,8 @@ def _(spark, d):
     FROM (SELECT *, stddev_samp(price) {over(7)} AS s7, stddev_samp(price) {over(30)} AS s30 FROM daily_filled)""")
 def _(spark, d):
     df, f = base(spark, d)
-    df = df.withColumns(ft.std_pair_columns(f, "price"))
-    return rounded(out(df, {"supply_disruption_proxy": ft.supply_disruption_column(KEY)}), 6)
+    df = df.withColumns(ft.spread_columns(f, "price")).withColumn("_typical", ft.typical_spread_column(KEY))
+    return rounded(out(df, {"supply_disruption_proxy": ft.supply_disruption_column()}), 6)
 
 
 _FLAT = f"(min(a) {over(14)} = max(a) {over(14)} OR min(b) {over(14)} = max(b) {over(14)})"

@@ -199,8 +199,9 @@ def _(spark, d):
 
 def small_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     df, f = daily_filled(spark, sf_dir), ft.Frames(["commodity"])
-    made = {**ft.lag_columns(f, "price"), **ft.sma_columns(f, "price"), **ft.std_columns(f, "price")}
-    return df.withColumns(made), list(made)
+    made = {**ft.sma_columns(f, "price"), **ft.std_columns(f, "price")}
+    rows = df.withColumns(ft.past_columns(f, "price") | made).withColumns(ft.lag_columns())
+    return rows, [*ft.lag_columns(), *made]
 
 
 _MADE = {f"price_lag_{k}": f"lag(price, {k}) OVER (PARTITION BY commodity ORDER BY date)" for k in ft.LAGS}
