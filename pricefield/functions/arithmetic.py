@@ -33,7 +33,9 @@ def nan_to_null(c: Column | str) -> Column:
 
 def zero_if_not_finite(c: Column | str) -> Column:
     """NULL, NaN and both infinities become 0."""
-    c = col(c)
+    if isinstance(c, str):
+        # One parsed expression: frames with a hundred columns are built much faster.
+        return F.expr(f"CASE WHEN `{c}` IS NULL OR isnan(`{c}`) OR abs(`{c}`) = double('Infinity') THEN 0D ELSE `{c}` END")
     bad = c.isNull() | F.isnan(c) | c.isin(INF, -INF)
     return F.when(bad, F.lit(0.0)).otherwise(c)
 

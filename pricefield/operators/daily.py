@@ -77,14 +77,17 @@ def fill_daily(
     df: DataFrame, series: Sequence[str], cols: Sequence[str], date: str = "date", strict: bool = False
 ) -> DataFrame:
     """Forward fill, then (unless strict) fill leading gaps with the first later value."""
-    past = Window.partitionBy(*series).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    # A running frame in falling order; the frame 0..unboundedFollowing is rescanned per row.
-    later = Window.partitionBy(*series).orderBy(F.desc(date)).rowsBetween(Window.unboundedPreceding, 0)
-    out = {}
-    for c in cols:
-        known = [F.last(c, True).over(past)] + ([] if strict else [F.last(c, True).over(later)])
-        out[c] = F.coalesce(*known)
-    return df.withColumns(out)
+    keys = ", ".join(f"`{k}`" for k in series)
+    part = f"PARTITION BY {keys} " if keys else ""
+
+    def known(c: str, order: str) -> str:
+        frame = f"{part}ORDER BY `{date}` {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+        return f"last_value(`{c}`) IGNORE NULLS OVER ({frame})"
+
+    # Later values come from a running frame in falling order; the frame from the current row
+    # to the end of the series would be scanned again for every row.
+    orders = ["ASC"] if strict else ["ASC", "DESC"]
+    return df.withColumns({c: F.expr(f"coalesce({', '.join(known(c, o) for o in orders)})") for c in cols})
 
 
 def future_frame(
