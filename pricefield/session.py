@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import cache
 
@@ -32,5 +33,8 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a local one only where it names none."""
-    return spark.conf.get("spark.checkpoint.dir", "") or _own_folder()
+    """The folder the cluster names in spark.checkpoint.dir; an own one only in local mode, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if not named and not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return named or _own_folder()
