@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from .decontamination import OP10_SQL, op10_decontamination
 from .mixing import OP6_SQL, op6_mixing
+from .quality import op1_quality
 from .sharding import op8_sharding
 
-QUERIES = {"op6_mixing": op6_mixing, "op8_sharding": op8_sharding}
-ORACLES = {"op6_mixing": OP6_SQL}
+QUERIES = {
+    "op1_quality": op1_quality,
+    "op6_mixing": op6_mixing,
+    "op8_sharding": op8_sharding,
+    "op10_decontamination": op10_decontamination,
+}
+ORACLES = {"op6_mixing": OP6_SQL, "op10_decontamination": OP10_SQL}
