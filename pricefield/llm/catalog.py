@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from .decontamination import OP10_SQL, op10_decontamination
+from .jaccard import OP7_SQL, op7_jaccard
 from .mixing import OP6_SQL, op6_mixing
 from .quality import op1_quality
+from .secrets import OP3_SQL, op3_secrets
 from .sharding import op8_sharding
+from .urls import op5_urls
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_secrets": op3_secrets,
+    "op5_urls": op5_urls,
     "op6_mixing": op6_mixing,
+    "op7_jaccard": op7_jaccard,
     "op8_sharding": op8_sharding,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES = {"op6_mixing": OP6_SQL, "op10_decontamination": OP10_SQL}
+ORACLES = {"op3_secrets": OP3_SQL, "op6_mixing": OP6_SQL, "op7_jaccard": OP7_SQL, "op10_decontamination": OP10_SQL}
