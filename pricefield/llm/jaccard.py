@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,8 @@ from .components import components
 SLOTS = 1 << 18
 #: Members of a group whose tokens are united.
 GROUP = 32
+#: Prefix tokens that similar sets share at least; a longer prefix keeps accidental pairs out.
+SHARED = 4
 _MIX, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -80,10 +82,11 @@ def document_classes(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def prefix_tokens(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(token, ca, n): of each set the rarest tokens, of which two similar sets share at least one.
+    """(token, ca, n): of each set the rarest tokens, of which two similar sets share at least SHARED.
 
-    Tokens are ordered by the count of their histogram slot, then by value. A set of n tokens that overlaps
-    another in `overlap_needed` tokens cannot miss it in the n - needed + 1 first ones of both.
+    Tokens are ordered by the count of their histogram slot, then by value. Of the common tokens of two sets
+    all but the first SHARED may stand behind the n - needed + SHARED first ones; so both prefixes hold those.
+    Sets that need a smaller overlap share at least that.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
@@ -99,7 +102,7 @@ def prefix_tokens(docs: DataFrame, counts: np.ndarray, k: int, percent: int) ->
                     continue
                 if len(seen) < 100_000:
                     seen.add(name)
-                first = len(s) - overlap_needed(len(s), percent) + 1
+                first = min(len(s), len(s) - overlap_needed(len(s), percent) + SHARED)
                 part = s[np.lexsort((s, shared.value[s & (SLOTS - 1)]))[:first]]
                 tokens.append(part)
                 owners.append(np.full(first, name, np.int64))
@@ -138,49 +141,62 @@ def verified_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(similar(F.col("x"), F.col("y"), percent)).select("a", "b")
 
 
-def class_links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def fitting(n: Column, other: Column, percent: int) -> Column:
+    return (n * 100 >= other * percent) & (other * 100 >= n * percent)
+
+
+def enough(shared: Column, n: Column, other: Column, percent: int) -> Column:
+    """Whether two sets of these sizes share so many prefix tokens that they may be similar."""
+    return shared >= F.least(F.lit(SHARED), F.ceil(F.least(n, other) * percent / 100))
+
+
+def class_links(shared: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Links (a, b) that connect all similar classes, from shared(token, ca, n): prefix tokens of two classes or more.
 
     1. Partition: each class joins the group of the class it shares most prefix tokens with as that token's
        smallest owner, if the two are similar. One comparison per class, however large a group of copies is.
-    2. Token-group matrix: the members of a group, up to GROUP at a time, with the union of their tokens. A
-       class asks only groups of other components that share a prefix token with it; the overlap with the
-       union bounds the overlap with every member, and only groups that reach the needed overlap are opened.
+    2. Token-group matrix: the members of a group, up to GROUP at a time, and the union of their tokens. A
+       class asks only groups of other components. Its prefix tokens in the group's prefix tokens, then its
+       tokens in the union bound the overlap with every member; only groups that reach what is needed are opened.
     A pair that is in one component already needs no look: no link between components is missed.
     """
-    owner = shared.groupBy("token").agg(F.min("ca").alias("hub"))
-    votes = shared.join(owner, "token").where("ca <> hub").groupBy("ca", "hub").count()
+    owner = shared.groupBy("token").agg(F.min_by(F.struct("ca", "n"), "ca").alias("hub"))
+    votes = shared.join(owner, "token").select("ca", "n", F.col("hub.ca").alias("hub"), F.col("hub.n").alias("other"))
+    votes = votes.where((F.col("ca") != F.col("hub")) & fitting(F.col("n"), F.col("other"), percent))
+    votes = votes.groupBy("ca", "n", "hub", "other").count().where(enough(F.col("count"), F.col("n"), F.col("other"), percent))
     chosen = votes.groupBy("ca").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
-    stars = settle(verified_links(chosen.select(F.col("ca").alias("a"), F.col("hub").alias("b")), sets, percent), "star-links")
+    chosen = settle(chosen.select(F.col("ca").alias("a"), F.col("hub").alias("b")), "star-pairs")
+    sets = sets_of(chosen.select(F.col("a").alias("ca")).union(chosen.select("b")))
+    stars = settle(verified_links(chosen, sets, percent), "star-links")
     roots = components(stars).select(F.col("node").alias("ca"), "root")
 
     rows = shared.join(roots, "ca", "left").select("token", "ca", "n", F.coalesce("root", "ca").alias("c"))
     rows = settle(rows, "token-components")
     mixed = rows.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    rows = settle(rows.join(mixed, "token"), "mixed-tokens")
-
     members = rows.select("ca", "n", "c").distinct()
     share = members.groupBy("c").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    members = members.join(share, "c").select("ca", "n", "c", F.pmod(F.xxhash64("ca"), F.col("parts")).alias("part"))
+    members = members.join(share, "c").select("ca", "c", F.pmod(F.xxhash64("ca"), F.col("parts")).alias("part"))
+    rows = settle(rows.join(mixed, "token").join(members, ["ca", "c"]), "mixed-tokens")
+    heads = rows.groupBy("token", F.col("c").alias("gc"), F.col("part").alias("gp")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    fits = (F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent)
+    asked = rows.join(heads, (rows["token"] == heads["token"]) & (F.col("c") > F.col("gc")) & fits)
+    asked = asked.groupBy("ca", "n", "gc", "gp").agg(F.count("*").alias("count"), F.min("least").alias("least"))
+    asked = asked.where(enough(F.col("count"), F.col("n"), F.col("least"), percent))
+    asked = settle(asked.select("ca", "n", F.col("gc").alias("c"), F.col("gp").alias("part")), "asked-groups")
+
+    members = rows.select("ca", "n", "c", "part").distinct().join(asked.select("c", "part").distinct(), ["c", "part"])
     members = settle(members, "group-members")
+    sets = sets_of(members.select("ca").union(asked.select("ca")))
     groups = members.join(sets, "ca").groupBy("c", "part").agg(
-        F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("n").alias("least"), F.max("n").alias("most"),
+        F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("n").alias("least"),
         F.collect_list(F.struct("ca", "n")).alias("members"),
     )
-    groups = settle(groups, "token-groups")
-    spans = groups.select("c", "part", "least", "most")
-    heads = rows.join(members.select("ca", "part"), "ca").select("token", F.col("c").alias("gc"), "part").distinct()
-    heads = heads.join(spans.withColumnRenamed("c", "gc"), ["gc", "part"])
-    fits = (F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent)
-    asked = rows.join(heads, (rows["token"] == heads["token"]) & (F.col("c") > F.col("gc")) & fits)
-    asked = asked.select("ca", "n", F.col("gc").alias("c"), "part").distinct()
-    reach = F.size(F.array_intersect("x", "union"))
     opened = asked.join(sets.select("ca", F.col("tokens").alias("x")), "ca").join(groups, ["c", "part"])
+    reach = F.size(F.array_intersect("x", "union"))
     opened = opened.where(reach * (100 + percent) >= (F.col("n") + F.col("least")) * percent)
-    pairs = opened.select(F.col("ca").alias("a"), F.col("n").alias("size"), F.explode("members").alias("m"))
-    pairs = pairs.select("a", F.col("m.ca").alias("b"), "size", F.col("m.n").alias("other"))
-    pairs = pairs.where((F.col("size") * 100 >= F.col("other") * percent) & (F.col("other") * 100 >= F.col("size") * percent))
-    return stars.union(verified_links(pairs.select("a", "b"), sets, percent))
+    pairs = opened.select(F.col("ca").alias("a"), "n", F.explode("members").alias("m"))
+    pairs = pairs.where(fitting(F.col("n"), F.col("m.n"), percent)).select("a", F.col("m.ca").alias("b"))
+    return stars.union(verified_links(pairs, sets, percent))
 
 
 def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -201,8 +217,12 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         F.min("doc_id").alias("first"), F.min(document_key(F.col("doc_id"), F.col("mark"))).alias("key")
     )
     classes = settle(classes, "classes")
-    sets = settle(token_sets(docs, classes.join(shared.select("ca").distinct(), "ca").select("key", "ca"), k), "token-sets")
-    found = components(class_links(shared, sets, percent)).select(F.col("node").alias("ca"), "root")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        keys = classes.join(wanted.select("ca").distinct(), "ca").select("key", "ca")
+        return settle(token_sets(docs, keys, k), "token-sets")
+
+    found = components(class_links(shared, sets_of, percent)).select(F.col("node").alias("ca"), "root")
     linked = classes.join(found, "ca").select("ca", "cb", "first", "root")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = linked.join(least, "root").select("ca", "cb", "least")
