@@ -200,14 +200,14 @@ def class_links(shared: DataFrame, sets_of: Callable[[DataFrame], DataFrame], pe
 
 
 def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """docs(doc_id, text): per row doc_id, mark (hash of the text), n_shingles and component_id.
+    """docs(doc_id, text): per row doc_id, mark (hash of the text), n_shingles, component_id and group.
 
     Two documents link when the overlap of their sets of k-word shingles is at least `percent` % of their
     union; component_id is the smallest doc_id reachable by links, the own one included. A text of fewer
     words is one shingle. Null and empty texts have no shingles and link with nothing. Equal sets form one
     class and are compared once; rows with a null id link like others, and a component of null ids only
     has a null component_id. Tokens are 64-bit hashes, and a class goes by 64 bits of its set while it is
-    compared. Repeated rows give repeated results.
+    compared. `group` is null without shingles, else the same for a component's rows. Repeated rows give repeated results.
     """
     rows, counts = document_classes(docs, k)
     prefixes = settle(prefix_tokens(docs, counts, k, percent), "prefix-tokens")
@@ -225,13 +225,32 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     found = components(class_links(shared, sets_of, percent)).select(F.col("node").alias("ca"), "root")
     linked = classes.join(found, "ca").select("ca", "cb", "first", "root")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    linked = linked.join(least, "root").select("ca", "cb", "least")
-    named = classes.join(linked, ["ca", "cb"], "left").select("ca", "cb", F.coalesce("least", "first").alias("component_id"))
-    full = rows.where("n > 0").join(named, ["ca", "cb"]).select("doc_id", "mark", F.col("n").alias("n_shingles"), "component_id")
-    empty = rows.where("n = 0").select("doc_id", "mark", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    linked = linked.join(least, "root").select("ca", "cb", "least", "root")
+    own = F.concat_ws(":", "ca", "cb")
+    named = classes.join(linked, ["ca", "cb"], "left").select(
+        "ca", "cb", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"),
+        F.coalesce(F.col("root").cast("string"), own).alias("group"),
+    )
+    shown = ["doc_id", "mark", F.col("n").alias("n_shingles"), "component_id", "group"]
+    full = rows.where("n > 0").join(named, ["ca", "cb"]).select(*shown)
+    empty = rows.where("n = 0").withColumns({"component_id": F.col("doc_id"), "group": F.lit(None).cast("string")}).select(*shown)
     return full.unionByName(empty)
 
 
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The row of docs with the smallest (doc_id, mark) of each group of `found`, and all rows without shingles."""
+    rows = found.where("n_shingles > 0").groupBy("group", "doc_id", "mark").count()
+    first = rows.groupBy("group").agg(F.min(F.struct("doc_id", "mark", "count")).alias("f"))
+    kept = first.select(document_key(F.col("f.doc_id"), F.col("f.mark")).alias("__key"), F.col("f.count").alias("__rows"))
+    empty = found.where("n_shingles = 0").select(document_key(F.col("doc_id"), F.col("mark")).alias("__key"), F.lit(1).alias("__rows"))
+    kept = settle(kept.unionByName(empty.distinct()), "kept-documents")
+    keyed = docs.withColumn("__key", document_key(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    out = keyed.join(kept.where("__rows = 1"), "__key")
+    if kept.where("__rows > 1").head(1):  # rows that repeat as a whole
+        out = out.union(keyed.join(kept.where("__rows > 1"), "__key").dropDuplicates(["__key"]))
+    return out.drop("__key", "__rows")
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = link_documents(docs, k=3, percent=90)
