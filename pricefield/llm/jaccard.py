@@ -15,10 +15,11 @@ from .components import components
 
 #: Slots of the token histogram; tokens are ordered by the count of their slot.
 SLOTS = 1 << 18
-#: Members of a group whose tokens are united.
+#: Members of a group whose tokens are united, and queries that one copy of a group answers.
 GROUP = 32
-#: Prefix tokens that similar sets share at least; a longer prefix keeps accidental pairs out.
-SHARED = 4
+QUERIES = 4096
+#: Bits of the filter that keeps unwanted texts out of a shuffle.
+FILTER_BITS = 1 << 23
 _MIX, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -43,6 +44,19 @@ def overlap_needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def least_shared(n: Column, percent: int) -> Column:
+    """Prefix tokens that a set of n tokens shares with any set similar to it; see `prefix_length`."""
+    return F.least(F.greatest(F.floor(n / 16), F.lit(4)), F.ceil(n * percent / 100))
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """Of the common tokens of two similar sets all but the first s may stand behind the first n - needed + s tokens.
+
+    So both prefixes hold s common tokens. A larger s costs longer prefixes and keeps accidental pairs out.
+    """
+    return min(n, n - overlap_needed(n, percent) + max(n // 16, 4))
+
+
 def _rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
@@ -82,12 +96,7 @@ def document_classes(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def prefix_tokens(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(token, ca, n): of each set the rarest tokens, of which two similar sets share at least SHARED.
-
-    Tokens are ordered by the count of their histogram slot, then by value. Of the common tokens of two sets
-    all but the first SHARED may stand behind the n - needed + SHARED first ones; so both prefixes hold those.
-    Sets that need a smaller overlap share at least that.
-    """
+    """(token, ca, n): of each set the `prefix_length` rarest tokens, ordered by their slot's count, then by value."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def scan(batches):
@@ -102,7 +111,7 @@ def prefix_tokens(docs: DataFrame, counts: np.ndarray, k: int, percent: int) ->
                     continue
                 if len(seen) < 100_000:
                     seen.add(name)
-                first = min(len(s), len(s) - overlap_needed(len(s), percent) + SHARED)
+                first = prefix_length(len(s), percent)
                 part = s[np.lexsort((s, shared.value[s & (SLOTS - 1)]))[:first]]
                 tokens.append(part)
                 owners.append(np.full(first, name, np.int64))
@@ -116,13 +125,24 @@ def prefix_tokens(docs: DataFrame, counts: np.ndarray, k: int, percent: int) ->
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(ca, tokens) of the classes in wanted(key, ca), read from the texts of one document of each."""
+    """(ca, tokens) of the classes in wanted(key, ca), read from the texts of one document of each.
+
+    A bit per hashed key, in an array of fixed length, keeps most other texts out of the shuffle.
+    """
     def scan(batches):
         for batch, sets in _rows(batches, k):
             yield pa.RecordBatch.from_arrays([batch.column("ca"), pa.array(sets, pa.list_(pa.int64()))], names=["ca", "tokens"])
 
+    slot = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
+    bits = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
+    every = docs.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "word").join(bits, "word", "left")
+    every = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))),
+                                  lambda x: x["bits"]).alias("bits"))
+    every = settle(every, "wanted-texts")
     keyed = docs.select(document_key(F.col("doc_id"), F.xxhash64("text")).alias("key"), "text")
-    texts = keyed.join(wanted, "key").select("ca", "text")
+    here = F.getbit(F.get(every.scalar(), F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(F.lit(63)).cast("int"))
+    texts = keyed.where(here == 1).join(wanted, "key").select("ca", "text")
     return texts.mapInArrow(scan, "ca long, tokens array<long>").dropDuplicates(["ca"])
 
 
@@ -147,56 +167,131 @@ def fitting(n: Column, other: Column, percent: int) -> Column:
 
 def enough(shared: Column, n: Column, other: Column, percent: int) -> Column:
     """Whether two sets of these sizes share so many prefix tokens that they may be similar."""
-    return shared >= F.least(F.lit(SHARED), F.ceil(F.least(n, other) * percent / 100))
+    return shared >= F.least(least_shared(n, percent), least_shared(other, percent))
+
 
+def promising(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (token, ca, n) of tokens that several classes hold, without classes that hold too few of them."""
+    several = rows.groupBy("token").agg(F.min("ca").alias("lo"), F.max("ca").alias("hi")).where("lo <> hi")
+    rows = settle(rows.join(several.select("token"), "token").distinct(), "shared-tokens")
+    smallest = F.greatest(F.floor(F.col("n") * percent / 100), F.lit(1))  # of the sets it may be similar to
+    few = rows.groupBy("ca", "n").count().where(F.col("count") < F.least(least_shared(F.col("n"), percent), least_shared(smallest, percent)))
+    return rows.join(few.select("ca"), "ca", "left_anti").select("token", "ca", "n")
 
-def class_links(shared: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Links (a, b) that connect all similar classes, from shared(token, ca, n): prefix tokens of two classes or more.
 
-    1. Partition: each class joins the group of the class it shares most prefix tokens with as that token's
-       smallest owner, if the two are similar. One comparison per class, however large a group of copies is.
-    2. Token-group matrix: the members of a group, up to GROUP at a time, and the union of their tokens. A
-       class asks only groups of other components. Its prefix tokens in the group's prefix tokens, then its
-       tokens in the union bound the overlap with every member; only groups that reach what is needed are opened.
-    A pair that is in one component already needs no look: no link between components is missed.
+def group_links(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found by asking groups: asked(ca, g) and members(ca, c, g) with the token sets of all.
+
+    The token-group matrix row of a group is the union of its members' tokens. It bounds the overlap of the
+    asking set with every member; only a group that reaches the needed overlap is opened, and then one look-up
+    of the set counts the overlap with each member. Members come first in a task and are at most about GROUP;
+    the queries stream by. A group asked by many is copied, so that no task answers more than about QUERIES.
+    Of the links found in a group only those are returned that join parts not yet joined.
+    """
+    copies = asked.groupBy("g").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("copies"))
+    every = members.join(copies, "g").select("ca", "c", "g", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    every = every.join(sets, "ca").select("g", "copy", F.lit(0).alias("asks"), "ca", "c", "tokens")
+    asks = asked.join(copies, "g").join(sets, "ca")
+    asks = asks.select("g", F.pmod(F.xxhash64("ca"), F.col("copies")).cast("int").alias("copy"), F.lit(1).alias("asks"), "ca",
+                       F.col("ca").alias("c"), "tokens")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group, top, matrix = None, [], {}, None
+
+        def root(x: int) -> int:
+            while top.setdefault(x, x) != x:
+                top[x] = x = top[top[x]]
+            return x
+
+        for batch in batches:
+            out = []
+            tokens = batch.column("tokens")
+            flat, ends = tokens.values.to_numpy(), tokens.offsets.to_numpy()
+            names = zip(*(batch.column(c).to_numpy() for c in ("g", "copy", "asks", "ca", "c")))
+            for i, (g, copy, asking, ca, c) in enumerate(names):
+                mine = flat[ends[i] : ends[i + 1]]
+                if (g, copy) != key:
+                    key, group, top, matrix = (g, copy), [], {}, None
+                if not asking:
+                    group.append((ca, mine))
+                    top[root(ca)] = root(c)
+                    continue
+                if matrix is None:
+                    matrix = (np.concatenate([t for _, t in group]), np.repeat(np.arange(len(group)), [len(t) for _, t in group]))
+                    order = np.argsort(matrix[0], kind="stable")
+                    matrix = (matrix[0][order], matrix[1][order], np.array([len(t) for _, t in group]))
+                held, owner, sizes = matrix
+                first, last = np.searchsorted(held, mine, "left"), np.searchsorted(held, mine, "right")
+                reach = np.count_nonzero(last > first)
+                if reach * (100 + percent) < (len(mine) + sizes.min()) * percent:
+                    continue
+                spans = last - first
+                at = np.repeat(first - np.concatenate(([0], np.cumsum(spans)[:-1])), spans) + np.arange(spans.sum())
+                both = np.bincount(owner[at], minlength=len(group))
+                for j in np.flatnonzero(100 * both >= percent * (len(mine) + sizes - both)):
+                    other = group[j][0]
+                    if root(other) != root(ca):
+                        top[root(other)] = root(ca)
+                        out.append((ca, other))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+
+    dealt = every.union(asks).repartition("g", "copy").sortWithinPartitions("g", "copy", "asks")
+    return dealt.mapInArrow(answer, "a long, b long")
+
+
+def class_links(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Links (a, b) that connect all similar classes, from the prefix tokens rows(token, ca, n).
+
+    1. Each class votes for the smallest owner of its tokens; the class most voted for is its hub. Sets are
+       compared with their hub's: one comparison per class, however large a group of copies is.
+    2. Components of these links and the classes that voted for them form clusters; clusters are cut into groups
+       of about GROUP similar classes. A class asks the groups of its cluster, and by shared prefix tokens the
+       groups of other clusters; of two groups only the later one asks. A group that is wholly in the asking
+       class's component needs no look: no link between components is missed.
     """
+    shared = settle(promising(promising(rows, percent), percent), "promising-tokens")
     owner = shared.groupBy("token").agg(F.min_by(F.struct("ca", "n"), "ca").alias("hub"))
     votes = shared.join(owner, "token").select("ca", "n", F.col("hub.ca").alias("hub"), F.col("hub.n").alias("other"))
     votes = votes.where((F.col("ca") != F.col("hub")) & fitting(F.col("n"), F.col("other"), percent))
     votes = votes.groupBy("ca", "n", "hub", "other").count().where(enough(F.col("count"), F.col("n"), F.col("other"), percent))
-    chosen = votes.groupBy("ca").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
-    chosen = settle(chosen.select(F.col("ca").alias("a"), F.col("hub").alias("b")), "star-pairs")
-    sets = sets_of(chosen.select(F.col("a").alias("ca")).union(chosen.select("b")))
-    stars = settle(verified_links(chosen, sets, percent), "star-links")
+    hubs = votes.groupBy("ca").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    hubs = settle(hubs.select(F.col("ca").alias("a"), F.col("hub").alias("b")), "star-pairs")
+    stars = verified_links(hubs, sets_of(hubs.select(F.col("a").alias("ca")).union(hubs.select("b"))), percent)
+    stars = settle(stars, "star-links")
     roots = components(stars).select(F.col("node").alias("ca"), "root")
 
-    rows = shared.join(roots, "ca", "left").select("token", "ca", "n", F.coalesce("root", "ca").alias("c"))
-    rows = settle(rows, "token-components")
-    mixed = rows.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    members = rows.select("ca", "n", "c").distinct()
-    share = members.groupBy("c").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
-    members = members.join(share, "c").select("ca", "c", F.pmod(F.xxhash64("ca"), F.col("parts")).alias("part"))
-    rows = settle(rows.join(mixed, "token").join(members, ["ca", "c"]), "mixed-tokens")
-    heads = rows.groupBy("token", F.col("c").alias("gc"), F.col("part").alias("gp")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    fits = (F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent)
-    asked = rows.join(heads, (rows["token"] == heads["token"]) & (F.col("c") > F.col("gc")) & fits)
-    asked = asked.groupBy("ca", "n", "gc", "gp").agg(F.count("*").alias("count"), F.min("least").alias("least"))
-    asked = asked.where(enough(F.col("count"), F.col("n"), F.col("least"), percent))
-    asked = settle(asked.select("ca", "n", F.col("gc").alias("c"), F.col("gp").alias("part")), "asked-groups")
-
-    members = rows.select("ca", "n", "c", "part").distinct().join(asked.select("c", "part").distinct(), ["c", "part"])
+    cluster = hubs.join(roots.select(F.col("ca").alias("b"), "root"), "b", "left").select(F.col("a").alias("ca"), F.coalesce("root", "b").alias("hub"))
+    members = shared.select("ca", "n").distinct().join(roots, "ca", "left").join(cluster, "ca", "left")
+    linked = F.col("root").isNotNull()
+    members = members.select("ca", "n", F.coalesce("root", "ca").alias("c"), linked.alias("linked"),
+                             F.coalesce("root", "hub", "ca").alias("h"))
+    share = members.groupBy("h", "linked").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    part = F.pmod(F.xxhash64("ca"), F.col("parts"))
+    members = members.join(share, ["h", "linked"]).withColumn("g", F.xxhash64("h", "linked", part)).drop("parts")
     members = settle(members, "group-members")
-    sets = sets_of(members.select("ca").union(asked.select("ca")))
-    groups = members.join(sets, "ca").groupBy("c", "part").agg(
-        F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union"), F.min("n").alias("least"),
-        F.collect_list(F.struct("ca", "n")).alias("members"),
+    groups = members.groupBy("g", "h").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("size"),
+        F.when(F.min("c") == F.max("c"), F.min("c")).alias("only"),
     )
-    opened = asked.join(sets.select("ca", F.col("tokens").alias("x")), "ca").join(groups, ["c", "part"])
-    reach = F.size(F.array_intersect("x", "union"))
-    opened = opened.where(reach * (100 + percent) >= (F.col("n") + F.col("least")) * percent)
-    pairs = opened.select(F.col("ca").alias("a"), "n", F.explode("members").alias("m"))
-    pairs = pairs.where(fitting(F.col("n"), F.col("m.n"), percent)).select("a", F.col("m.ca").alias("b"))
-    return stars.union(verified_links(pairs, sets, percent))
+    groups = groups.select(*[F.col(x).alias(f"g_{x}") for x in ("g", "h", "least", "most", "size", "only")])
+    fits = (F.col("n") * 100 >= F.col("g_least") * percent) & (F.col("g_most") * 100 >= F.col("n") * percent)
+    other = ~F.col("c").eqNullSafe(F.col("g_only")) & ((F.col("g") > F.col("g_g")) | ((F.col("g") == F.col("g_g")) & (F.col("g_size") > 1)))
+    near = members.join(groups, (F.col("h") == F.col("g_h")) & fits & other).select("ca", F.col("g_g").alias("g"))
+
+    kept = shared.join(members.select("ca", "c", "h", "g"), "ca")
+    heads = kept.groupBy("token", F.col("h").alias("g_h"), F.col("g").alias("g_g")).agg(
+        F.min("n").alias("g_least"), F.max("n").alias("g_most"))
+    mixed = heads.groupBy("token").agg(F.min("g_h").alias("lo"), F.max("g_h").alias("hi")).where("lo <> hi").select("token")
+    far = kept.join(mixed, "token").withColumnRenamed("token", "own").join(
+        heads, (F.col("own") == F.col("token")) & (F.col("h") != F.col("g_h")) & (F.col("g") > F.col("g_g")) & fits)
+    far = far.groupBy("ca", "n", "g_g").agg(F.count("*").alias("count"), F.min("g_least").alias("least"))
+    far = far.where(enough(F.col("count"), F.col("n"), F.col("least"), percent)).select("ca", F.col("g_g").alias("g"))
+    asked = settle(near.union(far), "asked-groups")
+
+    members = settle(members.join(asked.select("g").distinct(), "g").select("ca", "c", "g"), "asked-members")
+    sets = sets_of(members.select("ca").union(asked.select("ca")))
+    return stars.union(group_links(asked, members, sets, percent))
 
 
 def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -211,8 +306,6 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     rows, counts = document_classes(docs, k)
     prefixes = settle(prefix_tokens(docs, counts, k, percent), "prefix-tokens")
-    several = prefixes.groupBy("token").agg(F.min("ca").alias("lo"), F.max("ca").alias("hi")).where("lo <> hi")
-    shared = settle(prefixes.join(several.select("token"), "token").distinct(), "shared-tokens")
     classes = rows.where("n > 0").groupBy("ca", "cb").agg(
         F.min("doc_id").alias("first"), F.min(document_key(F.col("doc_id"), F.col("mark"))).alias("key")
     )
@@ -222,7 +315,7 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         keys = classes.join(wanted.select("ca").distinct(), "ca").select("key", "ca")
         return settle(token_sets(docs, keys, k), "token-sets")
 
-    found = components(class_links(shared, sets_of, percent)).select(F.col("node").alias("ca"), "root")
+    found = components(class_links(prefixes, sets_of, percent)).select(F.col("node").alias("ca"), "root")
     linked = classes.join(found, "ca").select("ca", "cb", "first", "root")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = linked.join(least, "root").select("ca", "cb", "least", "root")
