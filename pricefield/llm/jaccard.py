@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import join_key, settle, table
@@ -49,6 +49,12 @@ def least_shared(n: Column, percent: int) -> Column:
     return F.least(F.greatest(F.floor(n / 16), F.lit(4)), F.ceil(n * percent / 100))
 
 
+def surely_shared(n: Column, percent: int) -> Column:
+    """Prefix tokens shared by a set of n tokens and any set similar to it, the smallest such set included."""
+    smallest = F.greatest(F.floor(n * percent / 100), F.lit(1))
+    return F.least(least_shared(n, percent), least_shared(smallest, percent))
+
+
 def prefix_length(n: int, percent: int) -> int:
     """Of the common tokens of two similar sets all but the first s may stand behind the first n - needed + s tokens.
 
@@ -174,8 +180,7 @@ def promising(rows: DataFrame, percent: int) -> DataFrame:
     """The rows (token, ca, n) of tokens that several classes hold, without classes that hold too few of them."""
     several = rows.groupBy("token").agg(F.min("ca").alias("lo"), F.max("ca").alias("hi")).where("lo <> hi")
     rows = settle(rows.join(several.select("token"), "token").distinct(), "shared-tokens")
-    smallest = F.greatest(F.floor(F.col("n") * percent / 100), F.lit(1))  # of the sets it may be similar to
-    few = rows.groupBy("ca", "n").count().where(F.col("count") < F.least(least_shared(F.col("n"), percent), least_shared(smallest, percent)))
+    few = rows.groupBy("ca", "n").count().where(F.col("count") < surely_shared(F.col("n"), percent))
     return rows.join(few.select("ca"), "ca", "left_anti").select("token", "ca", "n")
 
 
@@ -240,6 +245,31 @@ def group_links(asked: DataFrame, members: DataFrame, sets: DataFrame, percent:
     return dealt.mapInArrow(answer, "a long, b long")
 
 
+def far_groups(kept: DataFrame, percent: int) -> DataFrame:
+    """(ca, g): the groups of other clusters that a class must ask, from the prefix tokens kept(token, ca, n, h, g).
+
+    Two similar sets share at least s prefix tokens. The rarest of these is not among the s - 1 tokens that most
+    classes hold, in either set, so those need no look-up: passages that many unlike documents quote pair none of
+    them. A group found so must then hold, in the union of its members' prefix tokens, s tokens of the class.
+    """
+    mixed = kept.groupBy("token").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count("*").alias("held"))
+    shown = settle(kept.join(mixed.where("lo <> hi").select("token", "held"), "token"), "mixed-tokens")
+    common_first = Window.partitionBy("ca").orderBy(F.desc("held"), "token")
+    rare = shown.withColumn("rank", F.row_number().over(common_first)).where(F.col("rank") >= surely_shared(F.col("n"), percent))
+    rare = settle(rare.select("token", "ca", "n", "h", "g"), "rare-tokens")
+    heads = rare.groupBy("token", F.col("h").alias("g_h"), F.col("g").alias("g_g")).agg(
+        F.min("n").alias("g_least"), F.max("n").alias("g_most"))
+    fits = (F.col("n") * 100 >= F.col("g_least") * percent) & (F.col("g_most") * 100 >= F.col("n") * percent)
+    found = rare.withColumnRenamed("token", "own").join(
+        heads, (F.col("own") == F.col("token")) & (F.col("h") != F.col("g_h")) & (F.col("g") > F.col("g_g")) & fits)
+    found = found.select("ca", F.col("g_g").alias("g")).distinct()
+    asking = shown.groupBy("ca", "n").agg(F.collect_set("token").alias("own"))
+    unions = shown.groupBy("g").agg(F.collect_set("token").alias("held"), F.min("n").alias("least"))  # about GROUP prefixes
+    found = found.join(asking, "ca").join(unions, "g")
+    both = F.size(F.array_intersect("held", "own"))
+    return found.where(enough(both, F.col("n"), F.col("least"), percent)).select("ca", "g")
+
+
 def class_links(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Links (a, b) that connect all similar classes, from the prefix tokens rows(token, ca, n).
 
@@ -279,15 +309,8 @@ def class_links(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
     other = ~F.col("c").eqNullSafe(F.col("g_only")) & ((F.col("g") > F.col("g_g")) | ((F.col("g") == F.col("g_g")) & (F.col("g_size") > 1)))
     near = members.join(groups, (F.col("h") == F.col("g_h")) & fits & other).select("ca", F.col("g_g").alias("g"))
 
-    kept = shared.join(members.select("ca", "c", "h", "g"), "ca")
-    heads = kept.groupBy("token", F.col("h").alias("g_h"), F.col("g").alias("g_g")).agg(
-        F.min("n").alias("g_least"), F.max("n").alias("g_most"))
-    mixed = heads.groupBy("token").agg(F.min("g_h").alias("lo"), F.max("g_h").alias("hi")).where("lo <> hi").select("token")
-    far = kept.join(mixed, "token").withColumnRenamed("token", "own").join(
-        heads, (F.col("own") == F.col("token")) & (F.col("h") != F.col("g_h")) & (F.col("g") > F.col("g_g")) & fits)
-    far = far.groupBy("ca", "n", "g_g").agg(F.count("*").alias("count"), F.min("g_least").alias("least"))
-    far = far.where(enough(F.col("count"), F.col("n"), F.col("least"), percent)).select("ca", F.col("g_g").alias("g"))
-    asked = settle(near.union(far), "asked-groups")
+    kept = shared.join(members.select("ca", "h", "g"), "ca")
+    asked = settle(near.union(far_groups(kept, percent)), "asked-groups")
 
     members = settle(members.join(asked.select("g").distinct(), "g").select("ca", "c", "g"), "asked-members")
     sets = sets_of(members.select("ca").union(asked.select("ca")))
