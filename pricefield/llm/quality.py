@@ -108,14 +108,19 @@ def judge_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
     ratio = settle(fit_ratio(docs, trusted, buckets, **fit), "gram-ratio")
-    rows = docs.drop(*names).withColumns({"__m": base_measures(F.col("text")), "__ratio": ratio.scalar()})
-    grams = let(F.col("__m.hashes"), lambda h: buckets_of(h, buckets))
-    total = F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.get(F.col("__ratio"), g))
-    rows = rows.withColumns({name: F.col(f"__m.{name}") for name in names[:5]} | {
-        "base_failed": (F.col("__m.n_words") < 50) | (100 * F.col("__m.n_repeat_words") > 50 * F.col("__m.n_words")),
-        "score": total / F.greatest(2 * F.col("__m.n_words"), F.lit(1)),
-    })
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("__m", "__ratio")
+    rows = docs.drop(*names).withColumn("__ratio", ratio.scalar())
+
+    def verdict(m: Column) -> Column:
+        grams = let(m["hashes"], lambda h: buckets_of(h, buckets))
+        total = F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.get(F.col("__ratio"), g))
+        failed = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+        score = total / F.greatest(2 * m["n_words"], F.lit(1))
+        values = [*[m[name] for name in names[:5]], failed, score, ~failed & (score >= threshold)]
+        return F.struct(*[v.alias(name) for v, name in zip(values, names)])
+
+    # one expression for all results, so that a filter on one of them computes the measures once
+    rows = rows.withColumn("__m", let(base_measures(F.col("text")), verdict))
+    return rows.select("*", "__m.*").drop("__m", "__ratio")
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
