@@ -23,10 +23,10 @@ def daily_median(
 def daily_weighted(
     df: DataFrame, series: Sequence[str], price: str = "price", volume: str = "arrivals", date: str = "date"
 ) -> DataFrame:
-    """Mean weighted by volume + 1; the plain mean when there is no volume column."""
+    """Mean weighted by volume + 1 over the rows that have a price; the plain mean when there is no volume column."""
     if volume not in df.columns:
         return daily_mean(df, series, price, date)
-    weight = F.col(volume) + 1
+    weight = F.when(F.col(price).isNotNull(), F.col(volume) + 1)
     mean = F.try_divide(F.sum(F.col(price) * weight), F.sum(weight))
     return df.groupBy(*series, date).agg(mean.alias(price))
 

@@ -35,7 +35,8 @@ def ensemble_weights(df: DataFrame) -> DataFrame:
 def ensemble_weighted(df: DataFrame, weights: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     w = F.broadcast(weights.select("model", "weight"))  # one row per model
     rows = df.join(w, "model")
-    mean = F.try_divide(F.sum(F.col("weight") * F.col("y_pred")), F.sum("weight"))
+    weight = F.when(F.col("y_pred").isNotNull(), F.col("weight"))
+    mean = F.try_divide(F.sum(weight * F.col("y_pred")), F.sum(weight))
     return rows.groupBy(*keys).agg(F.max("y_true").alias("y_true"), mean.alias("y_pred"))
 
 

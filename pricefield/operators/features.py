@@ -272,7 +272,8 @@ def stoch_d_column(f: Frames) -> Column:
 # --- proxies -----------------------------------------------------------------------
 
 def change_columns(x: str) -> dict[str, Column]:
-    return {"_chg_30": change(x, 30), "_chg_90": change(x, 90)}
+    """Relative changes for means; the change from a price of 0 is missing there."""
+    return {f"_chg_{k}": F.try_divide(F.col(x), F.col(f"_lag_{k}")) - 1 for k in (30, 90)}
 
 
 def inflation_columns(f: Frames) -> dict[str, Column]:

@@ -202,10 +202,11 @@ def systematic_sample(df: DataFrame, idx: str, most: int, n: int | None = None)
 
 
 def error_by_quarter(df: DataFrame, by: Sequence[str], place: str = "place", parts: int = 4) -> DataFrame:
-    """|error| in consecutive parts of n div 4 rows; the rest goes to the last part."""
+    """|error| in consecutive parts, cut before the rows n div 4, n div 2 and 3n div 4."""
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    part = F.least(F.floor(F.try_divide(F.col(place), F.floor(F.col("_n") / parts))), F.lit(parts - 1))
-    rows = attach(df, sizes, by).withColumn("quarter", F.coalesce(part, F.lit(parts - 1)).cast("int") + 1)
+    cuts = [F.col(place) >= F.floor(F.col("_n") * i / parts) for i in range(1, parts)]
+    part = sum((cut.cast("int") for cut in cuts), F.lit(1))
+    rows = attach(df, sizes, by).withColumn("quarter", part)
     err = F.abs(F.col("y_true") - F.col("y_pred"))
     return rows.groupBy(*by, "quarter").agg(
         F.count(F.lit(1)).alias("n"), F.avg(err).alias("mean_abs_error"), F.max(err).alias("max_abs_error")

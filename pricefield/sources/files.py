@@ -68,7 +68,14 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 
 def read_results(spark: SparkSession, path_glob: str, schema: T.StructType = RESULTS) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path_glob)
+    """Results of files with one object over several lines, with an array of objects, or with an object per line.
+
+    A whole result file is one small text; lines that start an object after a closed one begin a new element.
+    """
+    whole = spark.read.text(path_glob, wholetext=True).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("value"))
+    listed = F.when(F.startswith("value", F.lit("[")), F.col("value")).otherwise(
+        F.concat(F.lit("["), F.regexp_replace("value", r"\}\s*\n\s*\{", "},{"), F.lit("]")))
+    return whole.where("value <> ''").select(F.inline(F.from_json(listed, T.ArrayType(schema))))
 
 
 def write_results(df: DataFrame, path: str) -> None:

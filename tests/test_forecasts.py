@@ -152,6 +152,12 @@ def long_table(spark, rows):
     return spark.createDataFrame(rows, "model string, idx long, y_true double, y_pred double")
 
 
+def test_forecasts_that_are_missing_have_no_weight(spark):
+    rows = long_table(spark, [("m", 0, 1.0, 10.0), ("o", 0, 1.0, None)])
+    weights = spark.createDataFrame([("m", 0.5), ("o", 0.5)], "model string, weight double")
+    assert ensemble.ensemble_weighted(rows, weights, ["idx"]).first()["y_pred"] == 10.0
+
+
 def test_metric_edges(spark):
     one = long_table(spark, [("m", 0, 0.0, 1.0)])
     got = metrics.forecast_metrics(one).first()
@@ -234,12 +240,12 @@ def test_qq_quantiles(spark):
     np.testing.assert_allclose([r[0] for r in got], [NormalDist().inv_cdf(p) for p in ps], atol=1e-7)
 
 
-def test_error_quarters_put_the_rest_last(spark):
+def test_error_quarters_are_cut_at_whole_shares(spark):
     rows = long_table(spark, [("m", i, float(i), 0.0) for i in range(11)]).withColumn("place", F.col("idx"))
     got = {r["quarter"]: r["n"] for r in profile.error_by_quarter(rows, ["model"]).collect()}
-    assert got == {1: 2, 2: 2, 3: 2, 4: 5}
+    assert got == {1: 2, 2: 3, 3: 3, 4: 3}
     few = {r["quarter"]: r["n"] for r in profile.error_by_quarter(rows.limit(3), ["model"]).collect()}
-    assert few == {4: 3}
+    assert few == {2: 1, 3: 1, 4: 1}
 
 
 def test_selection_drops_flat_columns(spark):

@@ -7,7 +7,7 @@ import pytest
 
 from pricefield.functions.arithmetic import clip, div_inf, zero_if_not_finite
 from pricefield.functions.text import date_from_parts, is_farm_product, lenient_date, strict_date
-from pricefield.operators import cleaning, panel, profile
+from pricefield.operators import cleaning, daily, panel, profile
 from pricefield.session import shared_folder
 from pricefield.sources import adapters, files, schemas
 
@@ -50,7 +50,9 @@ def test_json_results_scan_and_sink(spark, tmp_path):
     got = files.read_results(spark, str(tmp_path / "*_results.json"))
     assert {r["model"]: r["r2"] for r in got.collect()} == {"lstm": 0.2, "gru": 0.3}
     files.write_results(got, str(tmp_path / "out"))
-    assert spark.read.schema(schemas.RESULTS).json(str(tmp_path / "out")).count() == 2
+    assert sorted(files.read_results(spark, str(tmp_path / "out")).collect()) == sorted(got.collect())
+    files.write_results(got.coalesce(1), str(tmp_path / "one"))
+    assert files.read_results(spark, str(tmp_path / "one")).count() == 2
 
 
 def test_append_results_writes_elsewhere(spark, tmp_path):
@@ -144,3 +146,9 @@ def test_shared_folder_follows_the_session():
     assert shared_folder(Session("hdfs://shared/x")) == "hdfs://shared/x"
     own = shared_folder(Session(None))
     assert own and own == shared_folder(Session(None))
+
+
+def test_prices_that_are_missing_have_no_weight(spark):
+    day = dt.date(2020, 1, 1)
+    rows = spark.createDataFrame([("a", day, 10.0, 9.0), ("a", day, None, 99.0)], "k string, date date, price double, arrivals double")
+    assert daily.daily_weighted(rows, ["k"]).first()["price"] == 10.0
