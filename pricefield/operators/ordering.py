@@ -142,10 +142,11 @@ def fill_rows(
 # --- ranks and exact quantiles -----------------------------------------------------
 
 def order_bucket(value: Column | str) -> Column:
-    """A long that never decreases as the value grows; about 1e-5 relative width."""
+    """A long that never decreases as the value grows; about 1e-5 relative width. Infinities have the end buckets."""
     v = col(value)
-    base = 750 * BUCKETS_PER_E
-    size = F.floor(F.log(F.abs(v)) * BUCKETS_PER_E) + base
+    base, most = 750 * BUCKETS_PER_E, F.lit(float("inf"))
+    finite = F.when(F.abs(v) < most, F.abs(v))
+    size = F.coalesce(F.floor(F.log(finite) * BUCKETS_PER_E) + base, F.lit(2 * base))
     return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("long")
 
 

@@ -163,3 +163,10 @@ def test_crowded_date_is_spread_by_slice(df):
     assert "_slice" in window
     wide = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "_slice" in line]
     assert wide, "rows are shuffled by slice, not by date alone"
+
+
+def test_buckets_of_infinite_values_are_the_outer_ones(spark):
+    values = [float("-inf"), -1.7e308, -2.0, 0.0, 5e-324, 3.0, 1.7e308, float("inf")]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", o.order_bucket("v").alias("b")).orderBy("v")
+    buckets = [r["b"] for r in rows.collect()]
+    assert buckets == sorted(set(buckets))
