@@ -140,12 +140,14 @@ def test_histogram_of_equal_values(spark):
 
 def test_shared_folder_follows_the_session():
     class Session:
-        def __init__(self, folder):
-            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        def __init__(self, master, folder=None):
+            self.conf = {"spark.master": master} | ({"spark.checkpoint.dir": folder} if folder else {})
 
-    assert shared_folder(Session("hdfs://shared/x")) == "hdfs://shared/x"
-    own = shared_folder(Session(None))
-    assert own and own == shared_folder(Session(None))
+    assert shared_folder(Session("spark://cluster", "hdfs://shared/x")) == "hdfs://shared/x"
+    own = shared_folder(Session("local[2]"))
+    assert own and own == shared_folder(Session("local"))
+    with pytest.raises(ValueError):
+        shared_folder(Session("spark://cluster"))
 
 
 def test_prices_that_are_missing_have_no_weight(spark):
