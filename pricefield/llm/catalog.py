@@ -6,6 +6,7 @@ from .decontamination import OP10_SQL, op10_decontamination
 from .extraction import op4_extraction
 from .jaccard import OP7_SQL, op7_jaccard
 from .licenses import op9_licenses
+from .manifest import OP12_SQL, op12_manifest
 from .mixing import OP6_SQL, op6_mixing
 from .quality import op1_quality
 from .secrets import OP3_SQL, op3_secrets
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
+    "op12_manifest": op12_manifest,
 }
 ORACLES = {
     "op2_warc": OP2_SQL,
@@ -31,4 +33,5 @@ ORACLES = {
     "op6_mixing": OP6_SQL,
     "op7_jaccard": OP7_SQL,
     "op10_decontamination": OP10_SQL,
+    "op12_manifest": OP12_SQL,
 }
