@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .common import join_key, settle, table
 
 #: Levels of a tree are folded several at a time, as many as fit in this number of slot columns.
-SLOTS = 16
+SLOTS = 8
 
 
 def digest(*parts: Column) -> Column:
@@ -88,25 +88,26 @@ class Fold:
         left = nodes_left(F.col("n"), self.fanout, self.levels)
         return self.rows.select("tree", left.alias("n"), F.col("block").alias("pos"), F.col(f"d{self.levels}_0").alias("node"))
 
-    def _siblings(self, slot: int) -> Column:
-        """Per level the hashes before and behind the own slot column, left out itself."""
+    def _siblings(self, slot: Column) -> Column:
+        """Per level the hashes before and behind the own slot's column, left out itself."""
         steps = []
         for level in range(self.levels):
-            at = slot // self.fanout**level
-            own, others = at % self.fanout, self._children(level, at // self.fanout)
-            step = F.struct(F.concat_ws("", *others[:own]).alias("before"), F.concat_ws("", *others[own + 1 :]).alias("behind"))
+            columns = F.array(*[F.col(f"d{level}_{k}") for k in range(self.width // self.fanout**level)])
+            at = F.floor(slot / self.fanout**level).cast("int")
+            first = at - F.pmod(at, F.lit(self.fanout))
+            before = F.slice(columns, first + 1, at - first)
+            behind = F.slice(columns, at + 2, first + (self.fanout - 1) - at)
+            step = F.struct(F.array_join(before, "").alias("before"), F.array_join(behind, "").alias("behind"))
             steps.append(F.when(self._several(level), step))
         return F.array_compact(F.array(*steps))
 
     def down(self, upper: DataFrame) -> DataFrame:
         """upper(tree, pos, path, subroot) of the nodes above the blocks to (tree, pos, node, path, subroot) of the blocks' nodes."""
         upper = upper.select("tree", F.col("pos").alias("block"), "path", "subroot")
-        both = self.rows.join(upper, ["tree", "block"])
-        one = [F.struct(F.col(f"s{i}").alias("s"), F.lit(i).alias("i"), self._siblings(i).alias("own")) for i in range(self.width)]
-        slots = F.filter(F.array(*one), lambda x: x["s"].isNotNull())
-        rows = both.select("tree", "block", "path", "subroot", F.explode(slots).alias("x"))
-        return rows.select("tree", (F.col("block") * self.width + F.col("x.i")).alias("pos"), "x.s.*",
-                           F.concat("x.own", "path").alias("path"), "subroot")
+        slots = F.posexplode(F.array(*[F.col(f"s{i}") for i in range(self.width)])).alias("slot", "s")
+        rows = self.rows.join(upper, ["tree", "block"]).select("*", slots).where("s IS NOT NULL")
+        path = F.concat(self._siblings(F.col("slot")), "path").alias("path")
+        return rows.select("tree", (F.col("block") * self.width + F.col("slot")).alias("pos"), "s.*", path, "subroot")
 
 
 def grow(nodes: DataFrame, fanout: int, carried: list[str]) -> tuple[list[Fold], DataFrame]:
