@@ -7,6 +7,7 @@ from .extraction import op4_extraction
 from .jaccard import OP7_SQL, op7_jaccard
 from .licenses import op9_licenses
 from .manifest import OP12_SQL, op12_manifest
+from .minmax import OP13_SQL, op13_minmax
 from .mixing import OP6_SQL, op6_mixing
 from .quality import op1_quality
 from .secrets import OP3_SQL, op3_secrets
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
     "op12_manifest": op12_manifest,
+    "op13_minmax": op13_minmax,
 }
 ORACLES = {
     "op2_warc": OP2_SQL,
@@ -34,4 +36,5 @@ ORACLES = {
     "op7_jaccard": OP7_SQL,
     "op10_decontamination": OP10_SQL,
     "op12_manifest": OP12_SQL,
+    "op13_minmax": OP13_SQL,
 }
