@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .collocations import OP11_SQL, op11_collocations
 from .decontamination import OP10_SQL, op10_decontamination
 from .extraction import op4_extraction
 from .jaccard import OP7_SQL, op7_jaccard
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_licenses": op9_licenses,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
     "op12_manifest": op12_manifest,
     "op13_minmax": op13_minmax,
 }
@@ -35,6 +37,7 @@ ORACLES = {
     "op6_mixing": OP6_SQL,
     "op7_jaccard": OP7_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_collocations": OP11_SQL,
     "op12_manifest": OP12_SQL,
     "op13_minmax": OP13_SQL,
 }
