@@ -19,7 +19,7 @@ TOP = 2000
 #: Shards of the corpus. A phrase reaches its share of the support in one of them; more shards lower that share.
 SHARDS = 4
 #: Words that a task counts before it hands its counts on.
-WORDS = 2_000_000
+WORDS = 500_000
 #: Bits of a filter of phrases worth counting; beyond its capacity more phrases are counted than needed.
 FILTER_POWER = 26
 #: A word as the contract has it: the ends of pieces and blanks stand between words.
@@ -59,7 +59,7 @@ class Chunk:
         self.groups = list(dict.fromkeys(self.owners))
         number = {g: i for i, g in enumerate(self.groups)}
         self.group = np.repeat([number[g] for g in self.owners], [len(p) for p in self.parts])
-        self.codes = np.concatenate(self.parts)
+        self.codes, self.parts = np.concatenate(self.parts), []
         return self
 
     def whole(self, k: int) -> np.ndarray:
