@@ -15,16 +15,16 @@ from .components import components
 from .jaccard import document_key, shingles, token_sets, verified_links
 
 #: Permutations; each gives two values of the signature, its minimum and its maximum.
-PERMUTATIONS = 64
-#: Values of a band: two permutations. 32 bands miss a pair at a similarity of 0.8 with a chance of 5e-8.
-BAND = 4
+PERMUTATIONS = 100
+#: Values of a band. 40 bands miss a pair at a similarity of 0.8 with a chance of 1.2e-7.
+BAND = 5
 #: Standard errors that an estimate may lie below the wanted similarity before a candidate is left out.
-SLACK = 6.0
+SLACK = 5.0
 #: Signatures of a bucket that are compared as one block, and tokens hashed at once.
 BLOCK = 64
 TOKENS = 1 << 13
 #: Rounds in which every class is compared with one hub before whole buckets are.
-ROUNDS = 2
+ROUNDS = 3
 
 
 def permutation_constants(permutations: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,33 +77,39 @@ def signed_classes(docs: DataFrame, k: int, permutations: int, band: int) -> Dat
 
 
 def of_several(rows: DataFrame) -> DataFrame:
-    """The rows (key, ca, n, comp) of buckets that hold more than one component."""
+    """The rows (key, band, ca, n, comp) of buckets that hold more than one component."""
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     return rows.join(mixed.select("key"), "key")
 
 
-def hub_pairs(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): each class with the hub that most of its buckets name; a bucket's hub is its first class by a hash."""
-    hubs = rows.groupBy("key").agg(F.min_by(F.struct("ca", "n", "comp"), F.struct(F.xxhash64("ca", F.lit(turn)), "ca")).alias("hub"))
+def hub_pairs(rows: DataFrame, used: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class with the hub that most of its buckets name.
+
+    The hub of a bucket is its class that meets most others over all its buckets: the original in a group of copies,
+    which are nearer to it than to each other. Hubs of earlier rounds, used(ca), are left out.
+    """
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size"))
+    central = rows.join(sizes, "key").groupBy("ca").agg(F.sum("size").alias("meets")).join(used, "ca", "left_anti")
+    hubs = rows.join(central, "ca").groupBy("key").agg(F.max(F.struct("meets", "ca", "n", "comp")).alias("hub"))
     votes = rows.join(hubs, "key").where(
         (F.col("comp") != F.col("hub.comp")) & (100 * F.col("n") >= percent * F.col("hub.n")) & (100 * F.col("hub.n") >= percent * F.col("n"))
-    ).groupBy("ca", F.col("hub.ca").alias("hub")).count()
-    most = votes.groupBy("ca").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    ).groupBy("ca", F.col("hub.ca").alias("hub")).agg(F.count("*").alias("count"), F.max("hub.meets").alias("meets"))
+    most = votes.groupBy("ca").agg(F.max_by("hub", F.struct("count", "meets", "hub")).alias("hub"))
     return most.select(F.col("ca").alias("a"), F.col("hub").alias("b"))
 
 
 def joined(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """rows(key, ca, n, ...) with the component `comp` of their class under the links."""
+    """rows(key, band, ca, n, ...) with the component `comp` of their class under the links."""
     found = components(links).select(F.col("node").alias("ca"), "root")
-    return rows.select("key", "ca", "n").join(found, "ca", "left").select("key", "ca", "n", F.coalesce("root", "ca").alias("comp"))
+    return rows.drop("comp").join(found, "ca", "left").select("key", "band", "ca", "n", F.coalesce("root", "ca").alias("comp"))
 
 
-def block_pairs(rows: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
+def block_pairs(rows: DataFrame, codes: DataFrame, percent: int, band: int) -> DataFrame:
     """(a, b): the pairs of classes of different components in one bucket whose signatures agree enough.
 
     A bucket is cut into blocks of about BLOCK classes. Two blocks meet as one row and their signatures are
-    compared there, so a pair of classes is a row only once it is a likely one. Blocks are formed by component, so two
-    blocks that lie wholly in the same component never meet.
+    compared there, so a pair of classes is a row only if it is a likely one, and only from the first bucket it
+    shares. Blocks are formed by component, so two blocks that lie wholly in the same component never meet.
     """
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("m"))
     large = sizes.where(F.col("m") > BLOCK)
@@ -112,12 +118,12 @@ def block_pairs(rows: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
     own = F.col("m").isNotNull()
     part = F.when(own, F.xxhash64("comp", F.pmod(F.xxhash64("ca"), F.ceil(F.col("m") / BLOCK)))).otherwise(
         F.pmod(F.xxhash64("comp"), F.col("rest")))
-    dealt = dealt.select("key", part.alias("block"), F.when(own, F.col("comp")).alias("only"), "ca", "n", "comp")
-    held = dealt.join(codes, "ca").groupBy("key", "block", "only").agg(
+    dealt = dealt.select("key", "band", part.alias("block"), F.when(own, F.col("comp")).alias("only"), "ca", "n", "comp")
+    held = dealt.join(codes, "ca").groupBy("key", "band", "block", "only").agg(
         F.collect_list(F.struct("ca", "n", "comp", "codes")).alias("held"))
     held = settle(held, "bucket-blocks")
-    other = held.select("key", F.col("block").alias("to"), F.col("only").alias("sole"), F.col("held").alias("others"))
-    meet = held.join(other, "key").where(
+    other = held.select("key", "band", F.col("block").alias("to"), F.col("only").alias("sole"), F.col("held").alias("others"))
+    meet = held.join(other, ["key", "band"]).where(
         (F.col("block") < F.col("to")) & ~F.coalesce(F.col("only") == F.col("sole"), F.lit(False))
         | (F.col("block") == F.col("to")) & F.col("only").isNull() & F.col("sole").isNull())
 
@@ -130,17 +136,19 @@ def block_pairs(rows: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
 
         for batch in batches:
             found = []
-            for left, right in zip(batch.column("held"), batch.column("others")):
+            for place, left, right in zip(*(batch.column(c) for c in ("band", "held", "others"))):
                 (a, n, x, s), (b, m, y, t) = parts(left.as_py()), parts(right.as_py())
                 least = (share - SLACK * np.sqrt(share * (1 - share) / s.shape[1])) * s.shape[1]
                 for i in range(len(a)):
                     near = (y != x[i]) & (100 * m >= percent * n[i]) & (100 * n[i] >= percent * m)
-                    near[near] = np.count_nonzero(t[near] == s[i], axis=1) >= least
+                    same = t[near] == s[i]
+                    first = same.reshape(len(same), same.shape[1] // band, band).all(2).argmax(1) == place.as_py()
+                    near[near] = first & (np.count_nonzero(same, axis=1) >= least)
                     found += [(a[i], c) if a[i] < c else (c, a[i]) for c in b[near]]
             one, two = zip(*set(found)) if found else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
 
-    return meet.select("held", "others").mapInArrow(compare, "a long, b long").distinct()
+    return meet.select("band", "held", "others").mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, permutations: int = PERMUTATIONS, band: int = BAND) -> DataFrame:
@@ -152,7 +160,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, permutations
     1. Every permutation of the shingle hashes gives two signature values, the smallest and the largest
        hash of the set, at half the hashing of plain minima. `band` values in a row are one bucket key.
     2. Equal sets form one class. Each class is verified against the hub most of its buckets name, ROUNDS
-       times, so a large group of copies costs a comparison per class and is one component afterwards.
+       times with new hubs, so a large group of copies costs a comparison per class and is one component afterwards.
     3. In buckets that still hold several components all signatures of different components are compared,
        block by block, and pairs that are likely enough are verified. No bucket is capped.
 
@@ -172,19 +180,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, permutations
         return settle(token_sets(docs, classes.join(wanted, "ca").select("key", "ca"), k), "minmax-sets")
 
     def confirmed(pairs: DataFrame, label: str) -> DataFrame:
-        pairs = settle(pairs, f"{label}-pairs")
         return settle(verified_links(pairs, sets_of(pairs), percent), f"{label}-links")
 
     signed = rows.where("n > 0").select("ca", "n", "bands", "codes").dropDuplicates(["ca"])
-    buckets = signed.select(F.explode("bands").alias("key"), "ca", "n", F.col("ca").alias("comp"))
+    buckets = signed.select(F.posexplode("bands").alias("band", "key"), "ca", "n", F.col("ca").alias("comp"))
     buckets = settle(of_several(buckets), "shared-buckets")
-    links = None
-    for turn in range(ROUNDS):
-        found = confirmed(hub_pairs(buckets, turn, percent), "hub")
+    links, used = None, buckets.select("ca").limit(0)
+    for _ in range(ROUNDS):
+        pairs = settle(hub_pairs(buckets, used, percent), "hub-pairs")
+        found = confirmed(pairs, "hub")
+        used = used.union(pairs.select("b")).distinct()
         links = found if links is None else links.union(found)
         buckets = settle(of_several(joined(buckets, links)), "shared-buckets")
     codes = signed.join(buckets.select("ca").distinct(), "ca", "left_semi").select("ca", "codes")
-    links = links.union(confirmed(block_pairs(buckets, codes, percent), "block"))
+    links = links.union(confirmed(settle(block_pairs(buckets, codes, percent, band), "block-pairs"), "block"))
 
     roots = components(links).select(F.col("node").alias("ca"), "root")
     linked = classes.join(roots, "ca").select("ca", "cb", "first", "root")
