@@ -15,11 +15,11 @@ from .components import components
 from .jaccard import document_key, shingles, token_sets, verified_links
 
 #: Permutations; each gives two values of the signature, its minimum and its maximum.
-PERMUTATIONS = 100
-#: Values of a band. 40 bands miss a pair at a similarity of 0.8 with a chance of 1.2e-7.
-BAND = 5
+PERMUTATIONS = 240
+#: Values of a band and bands. 40 bands miss a pair at a similarity of 0.8 with a chance of 1.2e-7; all values estimate.
+BAND, BANDS = 5, 40
 #: Standard errors that an estimate may lie below the wanted similarity before a candidate is left out.
-SLACK = 5.0
+SLACK = 4.5
 #: Signatures of a bucket that are compared as one block, and tokens hashed at once.
 BLOCK = 64
 TOKENS = 1 << 13
@@ -64,7 +64,7 @@ def signed_classes(docs: DataFrame, k: int, permutations: int, band: int) -> Dat
                 sizes.append(len(tokens))
                 names.append(np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), np.int64))
                 values = signature(tokens, factors, offsets)
-                bands.append(band_keys(values, band) if len(tokens) else np.empty(0, np.int64))
+                bands.append(band_keys(values[: BANDS * band], band) if len(tokens) else np.empty(0, np.int64))
                 codes.append(((values * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(56)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int32()),
@@ -142,7 +142,7 @@ def block_pairs(rows: DataFrame, codes: DataFrame, percent: int, band: int) -> D
                 for i in range(len(a)):
                     near = (y != x[i]) & (100 * m >= percent * n[i]) & (100 * n[i] >= percent * m)
                     same = t[near] == s[i]
-                    first = same.reshape(len(same), same.shape[1] // band, band).all(2).argmax(1) == place.as_py()
+                    first = same[:, : BANDS * band].reshape(len(same), BANDS, band).all(2).argmax(1) == place.as_py()
                     near[near] = first & (np.count_nonzero(same, axis=1) >= least)
                     found += [(a[i], c) if a[i] < c else (c, a[i]) for c in b[near]]
             one, two = zip(*set(found)) if found else ((), ())
