@@ -20,6 +20,8 @@ TOP = 2000
 SHARDS = 4
 #: Words that a task counts before it hands its counts on.
 WORDS = 500_000
+#: Distinct words whose counts a task holds before it hands them on.
+DISTINCT = 300_000
 #: Bits of a filter of phrases worth counting; beyond its capacity more phrases are counted than needed.
 FILTER_POWER = 26
 #: A word as the contract has it: the ends of pieces and blanks stand between words.
@@ -76,13 +78,6 @@ class Chunk:
             out ^= out >> np.uint64(32)
         return out
 
-    def ids(self, k: int) -> np.ndarray:
-        """A number per place that is equal for equal phrases of k words and for no others."""
-        ids = self.codes
-        for i in range(1, k):
-            ids = np.unique(ids[:-1], return_inverse=True)[1].astype(np.int64) * len(self.words) + self.codes[i:]
-        return ids
-
 
 def chunks(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[Chunk]:
     """The texts of a task in chunks of about WORDS words: memory does not grow with the task."""
@@ -137,31 +132,40 @@ def mined(docs: DataFrame, k: int, parts: np.ndarray | None) -> DataFrame:
     return rows.groupBy("shard", "phrase").agg(F.sum("n").alias("n"))
 
 
-def counted(docs: DataFrame, wanted: dict[int, np.ndarray | None]) -> DataFrame:
-    """docs(text, lang): (lang, k, phrase, n), the exact counts of phrases over all documents, by their words.
+def counted(docs: DataFrame, wanted: dict[int, np.ndarray]) -> DataFrame:
+    """docs(text, lang): (lang, k, phrase, n), the exact counts over all documents of all words (k = 1) and phrases.
 
-    For each length in `wanted` the phrases of its filter are counted at every place (all without a filter).
+    For each length in `wanted` the phrases of its filter are counted at every place where they stand.
     """
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
+    def rows_of(langs: list[str], k: int, phrases: list[bytes], n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array(langs, pa.string()), pa.array(np.full(len(langs), k, np.int32)),
+            pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()),
+        ], names=["lang", "k", "phrase", "n"])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[tuple[str, bytes], int] = {}
         for chunk in chunks(batches, "lang"):
+            size = len(chunk.words)
+            for at, n in zip(*np.unique((chunk.group * size + chunk.codes)[chunk.whole(1)], return_counts=True)):
+                word = chunk.groups[at // size], chunk.words[at % size]
+                words[word] = words.get(word, 0) + int(n)
+            if len(words) >= DISTINCT:
+                yield rows_of([w[0] for w in words], 1, [w[1] for w in words], list(words.values()))
+                words.clear()
             for k, bits in shared.value.items():
-                at = chunk.whole(k)
-                if bits is not None:
-                    at &= in_filter(bits, chunk.phrases(k))
-                places = np.flatnonzero(at)
-                ids, group = chunk.ids(k)[places], chunk.group[places]
-                order = np.lexsort((ids, group))
-                places, ids, group = places[order], ids[order], group[order]
+                places = np.flatnonzero(chunk.whole(k) & in_filter(bits, chunk.phrases(k)))
+                keys = [chunk.group[places], *[chunk.codes[places + i] for i in range(k)]]
+                order = np.lexsort(keys)
+                places, keys = places[order], [x[order] for x in keys]
                 change = np.ones(len(places), bool)
-                change[1:] = (ids[1:] != ids[:-1]) | (group[1:] != group[:-1])
+                change[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in keys])
                 first = np.flatnonzero(change)
                 texts = [b" ".join([chunk.words[c] for c in chunk.codes[p : p + k]]) for p in places[first]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([chunk.groups[g] for g in group[first]], pa.string()), pa.array(np.full(len(first), k, np.int32)),
-                    pa.array(texts, pa.binary()).cast(pa.string()), pa.array(np.diff(np.append(first, len(places)))),
-                ], names=["lang", "k", "phrase", "n"])
+                yield rows_of([chunk.groups[g] for g in keys[0][first]], k, texts, np.diff(np.append(first, len(places))))
+        yield rows_of([w[0] for w in words], 1, [w[1] for w in words], list(words.values()))
 
     rows = docs.select("text", "lang").mapInArrow(scan, "lang string, k int, phrase string, n long")
     return rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
@@ -208,9 +212,9 @@ def collocations(
     local = sizes.withColumn("need", F.ceil(F.col("n") * support / F.nullif(words, F.lit(0))))
     local = local.groupBy("shard").agg(F.min("need").alias("need"))
 
-    wanted: dict[int, np.ndarray | None] = {1: None}
+    wanted: dict[int, np.ndarray] = {}
     for k in range(2, max_words + 1):
-        frequent = mined(docs, k, wanted[k - 1]).join(local, "shard").where(F.col("n") >= F.col("need"))
+        frequent = mined(docs, k, wanted.get(k - 1)).join(local, "shard").where(F.col("n") >= F.col("need"))
         wanted[k] = filter_of(frequent.select("phrase"))
     counts = counted(docs, wanted).where((F.col("k") == 1) | (F.col("n") >= support))
     counts = settle(counts, "phrase-counts")
