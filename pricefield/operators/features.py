@@ -151,20 +151,30 @@ def with_emas(
 ) -> DataFrame:
     """Add e[t] = a*x[t] + (1-a)*e[t-1], e[0] = x[0], a = 2/(span+1); {name: (column, span)}.
 
+    t counts the known values: the mean starts at the first one, and a missing value leaves it as it was
+    (as pandas does with ignore_na).
+
     The recursion unrolls to a weighted running sum. Rows are cut into chunks so long that a
     weight of the chunk before last is under 1e-18: a row needs its own chunk's running
     sum and the last sum of the chunk before.
     """
-    t = F.row_number().over(Window.partitionBy(*series).orderBy(order)) - 1
-    rows = df.withColumn("_t", t)
-    for chunk, group in _chunk_groups(values):
-        rows = rows.withColumns({"_c": F.floor(F.col("_t") / chunk), "_j": F.col("_t") % chunk})
-        inside = Window.partitionBy(*series, "_c").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+    known = Window.partitionBy(*series).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    columns = sorted({x for x, _ in values.values()})
+    rows = df.withColumns({f"_t_{x}": F.count(x).over(known) - 1 for x in columns})
+    groups = [
+        (chunk, x, {name: v for name, v in group.items() if v[0] == x}) for chunk, group in _chunk_groups(values) for x in columns
+    ]
+    for chunk, column, group in groups:
+        if not group:
+            continue
+        t = F.col(f"_t_{column}")
+        rows = rows.withColumns({"_t": t, "_c": F.floor(t / chunk), "_j": F.pmod(t, F.lit(chunk))})
+        inside = Window.partitionBy(*series, "_c").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         sums = {}
         for name, (x, q) in group.items():
             part = F.when(F.col("_t") == 0, F.col(x)).otherwise(F.col(x) * (1 - q))
             grown = F.sum(part * F.pow(F.lit(q), -F.col("_j"))).over(inside)
-            sums[f"_s_{name}"] = grown * F.pow(F.lit(q), F.col("_j")) if q else F.col(x)
+            sums[f"_s_{name}"] = grown * F.pow(F.lit(q), F.col("_j")) if q else F.last(x, ignorenulls=True).over(inside)
         rows = rows.withColumns(sums)
         before = Window.partitionBy(*series).orderBy("_c").rangeBetween(-1, -1)
         out = {}
@@ -172,8 +182,8 @@ def with_emas(
             end = F.when(F.col("_j") == chunk - 1, F.col(f"_s_{name}"))
             carry = F.coalesce(F.max(end).over(before), F.lit(0.0))
             out[name] = F.col(f"_s_{name}") + carry * F.pow(F.lit(q), F.col("_j") + 1)
-        rows = rows.withColumns(out).drop("_c", "_j", *sums)
-    return rows.drop("_t")
+        rows = rows.withColumns(out).drop("_t", "_c", "_j", *sums)
+    return rows.drop(*[f"_t_{x}" for x in columns])
 
 
 def ema(df: DataFrame, series: Sequence[str], x: str = "price", spans: Sequence[int] = EMA_SPANS) -> DataFrame:

@@ -122,6 +122,8 @@ def holt_winters_fit(
         values = pdf[y].to_numpy(dtype=float)
         kind = seasonal if len(values) >= 2 * period else None
         end = smooth(values, grid, trend, kind, period)
+        if kind is None and seasonal == "mul":
+            end["season"] = np.ones_like(end["season"])
         return pd.DataFrame({
             **{k: [pdf[k].iloc[0]] * len(grid) for k in keys},
             "params": list(grid), "level": end["level"], "slope": end["slope"],

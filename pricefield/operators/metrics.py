@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arithmetic import EPS, INF
-from .ordering import BLOCK_ROWS, average_rank, block_window, own_rows, value_positions, with_blocks
+from .ordering import BLOCK_ROWS, average_rank, value_positions
 
 HIGHER_IS_BETTER = {"r2", "directional_acc"}
 
@@ -66,12 +66,21 @@ def directional_accuracy(
     df: DataFrame, series: Sequence[str] = (), idx: str = "idx", by: Sequence[str] = ("model",),
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Share of steps along idx in which truth and forecast move the same way, in percent."""
+    """Share of steps along idx in which truth and forecast move the same way, in percent.
+
+    A step goes from one row to the next one there is, wherever blocks end: the last row of each block is
+    handed to the next block that has rows.
+    """
     keys = [*by, *series]
-    rows = with_blocks(df.select(*keys, idx, "y_true", "y_pred"), idx, 1, block_rows=block_rows)
-    w = block_window(keys, idx)
-    step = {c: F.signum(F.col(c) - F.lag(c, 1).over(w)) for c in ("y_true", "y_pred")}
-    rows = own_rows(rows.withColumns({"_a": step["y_true"], "_b": step["y_pred"]}))
+    block = F.floor(F.col(idx) / block_rows).cast("long")
+    rows = df.select(*keys, idx, "y_true", "y_pred").withColumn("_key", F.struct(*keys, block.alias("_block")))
+    ends = rows.groupBy("_key").agg(F.max_by(F.struct("y_true", "y_pred"), idx).alias("_end"))
+    order = Window.partitionBy(*[f"_key.{k}" for k in keys]).orderBy("_key._block")
+    rows = rows.join(ends.select("_key", F.lag("_end").over(order).alias("_end")), "_key")
+    w = Window.partitionBy("_key").orderBy(idx)
+    first = F.row_number().over(w) == 1
+    before = {c: F.when(first, F.col(f"_end.{c}")).otherwise(F.lag(c, 1).over(w)) for c in ("y_true", "y_pred")}
+    rows = rows.withColumns({"_a": F.signum(F.col("y_true") - before["y_true"]), "_b": F.signum(F.col("y_pred") - before["y_pred"])})
     hit = F.when(F.col("_a") == F.col("_b"), F.lit(100.0)).otherwise(F.lit(0.0))
     share = F.avg(F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), hit))
     return rows.groupBy(*by).agg(F.coalesce(share, F.lit(0.0)).alias("directional_acc"))

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ..functions.arithmetic import col
 
 HOT_ROWS = 1_000_000
+#: Slices of a date that holds more rows than that.
+SLICES = 64
 BLOCK_ROWS = 100_000
 BUCKETS_PER_E = 100_000
 
@@ -41,39 +43,44 @@ def series_index(
 ) -> DataFrame:
     """0-based position by (order, tiebreak) inside each series; series=[] is the whole table.
 
-    `tiebreak` is numeric and unique inside one (series, order) value. `series` and `order`
-    hold no NULL. The only windows that cross dates run on the table of counts per date.
+    `tiebreak` is unique inside one (series, order) value. NULL series form a series, a NULL
+    order or tiebreak stands first. The only windows that cross dates run on the table of counts
+    per date. A crowded date is cut at quantiles of its tiebreak, so slices are alike however
+    the ids cluster; the rows of each slice are counted exactly.
     """
-    keys = [*series, order]
-    days = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(tiebreak).alias("_lo"), F.max(tiebreak).alias("_hi")
-    )
+    names = [*series, order]
+    rows = df.withColumn("_key", F.struct(*names))  # structs join also where a field is NULL
+    keys = [*[f"_key.{k}" for k in series], f"_key.{order}"]
+    days = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     days = days.withColumn(
-        "_start", F.coalesce(F.sum("_n").over(running(series, order, -1)), F.lit(0))
+        "_start", F.coalesce(F.sum("_n").over(running(keys[:-1], keys[-1], -1)), F.lit(0))
     )
-    share = (F.col(tiebreak) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    cut = F.floor(share * F.ceil(F.col("_n") / hot_rows)).cast("long")
     # At most rows/hot_rows dates are crowded, so this side is small by construction.
-    crowded = F.broadcast(days.where(F.col("_n") > hot_rows).select(*keys, "_n", "_lo", "_hi"))
+    hot = F.broadcast(days.where(F.col("_n") > hot_rows).select("_key"))
+    shares = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
+    splitters = rows.select("_key", tiebreak).join(hot, "_key").groupBy("_key").agg(
+        F.percentile_approx(tiebreak, shares).alias("_cuts"))
+    crowded = F.broadcast(splitters)
+    cut = F.size(F.filter("_cuts", lambda c: c <= F.col(tiebreak))).cast("long")
     slices = (
-        df.select(*keys, tiebreak)
-        .join(crowded, keys)
-        .groupBy(*keys, cut.alias("_slice"))
+        rows.select("_key", tiebreak)
+        .join(crowded, "_key")
+        .groupBy("_key", cut.alias("_slice"))
         .agg(F.count(F.lit(1)).alias("_sn"))
     )
     slices = slices.select(
-        *keys, "_slice",
-        F.coalesce(F.sum("_sn").over(running(keys, "_slice", -1)), F.lit(0)).alias("_inner"),
+        "_key", "_slice",
+        F.coalesce(F.sum("_sn").over(running(["_key"], "_slice", -1)), F.lit(0)).alias("_inner"),
     )
     none = F.lit(0).cast("long")
-    starts = days.select(*keys, "_start").join(F.broadcast(slices), keys, "left").select(
-        *keys, F.coalesce("_slice", none).alias("_slice"),
+    starts = days.select("_key", "_start").join(F.broadcast(slices), "_key", "left").select(
+        "_key", F.coalesce("_slice", none).alias("_slice"),
         (F.col("_start") + F.coalesce("_inner", none)).alias("_start"),
     )
     # Rows learn their slice before they are shuffled, so a crowded date is spread by slice.
-    rows = df.join(crowded, keys, "left").withColumn("_slice", F.coalesce(cut, none))
-    rows = rows.join(starts, [*keys, "_slice"])
-    place = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(tiebreak)) - 1
+    rows = rows.join(crowded, "_key", "left").withColumn("_slice", F.when(F.col("_cuts").isNull(), none).otherwise(cut))
+    rows = rows.join(starts, ["_key", "_slice"])
+    place = F.row_number().over(Window.partitionBy("_key", "_slice").orderBy(tiebreak)) - 1
     return rows.select(*df.columns, (F.col("_start") + place).cast("long").alias(idx))
 
 

@@ -85,18 +85,21 @@ def describe_prices(df: DataFrame, cols: Sequence[str], exact: bool = True) -> D
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long Pearson matrix (a, b, r) from one aggregation."""
+    """Long Pearson matrix (a, b, r) from one aggregation; each pair over the rows that have both values."""
     pairs = list(combinations(cols, 2))
     aggs = [F.stddev_pop(c).alias(f"s_{c}") for c in cols]
-    aggs += [F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs]
-    one = df.na.drop(subset=list(cols)).agg(*aggs)
+    for a, b in pairs:
+        both = [F.when(F.col(y).isNotNull(), F.col(x)) for x, y in ((a, b), (b, a))]
+        aggs.append((F.stddev_pop(both[0]) * F.stddev_pop(both[1])).alias(f"s_{a}_{b}"))
+        aggs.append(F.covar_pop(a, b).alias(f"c_{a}_{b}"))
+    one = df.agg(*aggs)
 
     def cell(a: str, b: str, r: Column) -> Column:
         return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
 
     cells = [cell(c, c, F.when(F.col(f"s_{c}") > 0, F.lit(1.0))) for c in cols]
     for a, b in pairs:
-        r = F.try_divide(F.col(f"c_{a}_{b}"), F.col(f"s_{a}") * F.col(f"s_{b}"))
+        r = F.try_divide(F.col(f"c_{a}_{b}"), F.col(f"s_{a}_{b}"))
         cells += [cell(a, b, r), cell(b, a, r)]
     return one.select(F.explode(F.array(*cells)).alias("m")).select("m.*")
 
@@ -195,10 +198,9 @@ def radar_scores(results: DataFrame) -> DataFrame:
 
 # --- chart tables of forecasts ---------------------------------------------------------------
 
-def systematic_sample(df: DataFrame, idx: str, most: int, n: int | None = None) -> DataFrame:
-    """Every (n div most)-th row along idx when there are more than `most` rows."""
-    total = df.count() if n is None else n
-    return df.where(F.col(idx) % max(1, total // most) == 0)
+def systematic_sample(df: DataFrame, idx: str, step: int) -> DataFrame:
+    """Every step-th row along idx, from the first on."""
+    return df.where(F.col(idx) % step == 0)
 
 
 def error_by_quarter(df: DataFrame, by: Sequence[str], place: str = "place", parts: int = 4) -> DataFrame:
@@ -264,11 +266,10 @@ def qq_points(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
 
 
 def predictions_overlay(
-    df: DataFrame, models: Sequence[str], keys: Sequence[str], idx: str = "idx", most: int = 5000
+    df: DataFrame, models: Sequence[str], keys: Sequence[str], idx: str = "idx", step: int = 1
 ) -> DataFrame:
-    """Actual value and one column per model, sampled along idx."""
-    longest = df.agg(F.max(idx)).first()[0]
-    rows = systematic_sample(df, idx, most, 1 + (longest if longest is not None else 0))
+    """Actual value and one column per model; every step-th row along idx, by default all."""
+    rows = systematic_sample(df, idx, step)
     wide = rows.groupBy(*keys, idx).pivot("model", sorted(models)).agg(F.first("y_pred"))
     actual = rows.groupBy(*keys, idx).agg(F.first("y_true").alias("y_true"))
     return actual.join(wide, [*keys, idx])

@@ -114,10 +114,10 @@ def cv_folds_sized(
     return _assign_folds(df, idx, [_bound(i, first + test * i, gap, test, n) for i in fits])
 
 
-def cv_summary(scores: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """(metric, mean, std) over folds; population deviation."""
-    long = scores.unpivot([], list(metrics), "metric", "score")
-    return long.groupBy("metric").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
+def cv_summary(scores: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(*by, metric, mean, std) over folds; population deviation."""
+    long = scores.unpivot(list(by), list(metrics), "metric", "score")
+    return long.groupBy(*by, "metric").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
 
 
 def instance_norm(win: Column, n_features: int, eps: float = 1e-5) -> Column:

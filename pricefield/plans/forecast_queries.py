@@ -324,8 +324,7 @@ def _(spark, d):
 
 
 @query("predictions_overlay", f"""
-    WITH st AS (SELECT CASE WHEN max(idx) + 1 > 500 THEN (max(idx) + 1) // 500 ELSE 1 END AS step FROM forecasts)
     SELECT commodity, idx, {s('max(y_true)', 'y_true')}, {', '.join(s(f"max(CASE WHEN model = '{m}' THEN y_pred END)", m) for m in MODELS)}
-    FROM forecasts, st WHERE idx % step = 0 GROUP BY commodity, idx""")
+    FROM forecasts GROUP BY commodity, idx""")
 def _(spark, d):
-    return single(profile.predictions_overlay(forecasts(spark, d), MODELS, KEY, most=500))
+    return single(profile.predictions_overlay(forecasts(spark, d), MODELS, KEY))

@@ -161,9 +161,8 @@ def _(spark, d):
 
 
 @query("systematic_sample", """
-    WITH i AS (SELECT *, row_number() OVER (ORDER BY date, row_id) - 1 AS idx FROM prices_orders),
-    st AS (SELECT CASE WHEN count(*) > 5000 THEN count(*) // 5000 ELSE 1 END AS step FROM i)
-    SELECT idx, row_id, price FROM i, st WHERE idx % step = 0""")
+    WITH i AS (SELECT *, row_number() OVER (ORDER BY date, row_id) - 1 AS idx FROM prices_orders)
+    SELECT idx, row_id, price FROM i WHERE idx % 3 = 0""")
 def _(spark, d):
     rows = series_index(prices_orders(spark, d), [], "date", "row_id")
-    return profile.systematic_sample(rows, "idx", 5000, prices_orders(spark, d).count()).select("idx", "row_id", "price")
+    return profile.systematic_sample(rows, "idx", 3).select("idx", "row_id", "price")

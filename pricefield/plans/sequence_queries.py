@@ -104,20 +104,19 @@ def _(spark, d):
 
 
 @query("cv_summary", f"""
-    WITH f AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY idx) - 1 AS pos FROM (SELECT model, idx, y_true, y_pred FROM forecasts
-               WHERE commodity = '5-LOW' AND model = 'naive')),
-    x AS (SELECT f.*, k.fold, (SELECT count(*) FROM f) // 6 AS size FROM f CROSS JOIN (SELECT unnest(range(5)) AS fold) k),
-    sc AS (SELECT fold, avg(abs(y_true - y_pred)) AS val_mae, avg((y_true - y_pred) ** 2) AS val_mse FROM x
-           WHERE pos >= size * (fold + 1) AND pos < least(size * (fold + 2), (SELECT count(*) FROM f)) GROUP BY fold)
-    SELECT 'val_mae' AS metric, {s('avg(val_mae)', 'mean')}, {s('stddev_pop(val_mae)', 'std')} FROM sc
-    UNION ALL SELECT 'val_mse', {s('avg(val_mse)', 'mean')}, {s('stddev_pop(val_mse)', 'std')} FROM sc""")
-def _(spark, d):
-    one = daily_filled(spark, d).where("commodity = '5-LOW'")
-    rows = baseline_forecasts(one, ["commodity"]).where("model = 'naive'").withColumn("pos", F.col("idx") - 1)
-    test = sequences.cv_folds(rows, 5, idx="pos").where("role = 'test'")
-    scores = test.groupBy("fold").agg(
+    WITH f AS (SELECT model, idx, y_true, y_pred FROM forecasts),
+    x AS (SELECT f.*, k.fold, (SELECT max(idx) + 1 FROM f) // 6 AS size FROM f CROSS JOIN (SELECT unnest(range(5)) AS fold) k),
+    sc AS (SELECT model, fold, avg(abs(y_true - y_pred)) AS val_mae, avg((y_true - y_pred) ** 2) AS val_mse FROM x
+           WHERE idx >= size * (fold + 1) AND idx < least(size * (fold + 2), (SELECT max(idx) + 1 FROM f)) GROUP BY model, fold)
+    SELECT model, 'val_mae' AS metric, {s('avg(val_mae)', 'mean')}, {s('stddev_pop(val_mae)', 'std')} FROM sc GROUP BY model
+    UNION ALL SELECT model, 'val_mse', {s('avg(val_mse)', 'mean')}, {s('stddev_pop(val_mse)', 'std')} FROM sc GROUP BY model""")
+def _(spark, d):
+    rows = baseline_forecasts(daily_filled(spark, d), ["commodity"])
+    n = 1 + rows.agg(F.max("idx")).first()[0]
+    test = sequences.cv_folds(rows, 5, n=n).where("role = 'test'")
+    scores = test.groupBy("model", "fold").agg(
         F.avg(F.abs(error())).alias("val_mae"), F.avg(F.pow(error(), 2)).alias("val_mse"))
-    return single(sequences.cv_summary(scores, ["val_mae", "val_mse"]))
+    return single(sequences.cv_summary(scores, ["val_mae", "val_mse"], ["model"]))
 
 
 _NW = "OVER (ORDER BY date, row_id ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING)"

@@ -68,11 +68,11 @@ def wfp_global(df: DataFrame, source: str = "wfp_global") -> DataFrame:
 
 
 def wide_futures(
-    df: DataFrame, source: str = "commodity_futures", first: int | None = None, lower: bool = True
+    df: DataFrame, source: str = "commodity_futures", commodities: Sequence[str] | None = None, lower: bool = True
 ) -> DataFrame:
-    """One column per commodity to one row per quote."""
+    """One column per commodity to one row per quote; all columns beside the date, or the named ones."""
     date = find_column(df.columns, "date")
-    cols = [c for c in df.columns if c != date][:first]
+    cols = [c for c in df.columns if c != date] if commodities is None else list(commodities)
     long = df.select(lenient_date(F.col(date).cast("string")).alias("date"), *[number(c).alias(c) for c in cols])
     long = long.unpivot("date", cols, "commodity", "price")
     name = F.lower("commodity") if lower else F.col("commodity")

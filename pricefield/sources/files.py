@@ -12,10 +12,9 @@ from pyspark.sql import types as T
 from ..operators.profile import rank_results
 from ..session import shared_folder
 from .adapters import ADAPTERS
+from .layouts import read_csv_by_header
 from .schemas import RESULTS
 
-OVERFLOW = "_overflow"
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -24,37 +23,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns as the schema's types; a text that is none of its type is NULL."""
+    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=True)
+    """The columns of the schema by the names in each file's header, whatever their order there."""
+    return typed(read_csv_by_header(spark, path, schema.names), schema)
 
 
-def read_csv_tolerant(
-    spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8"
-) -> DataFrame:
-    """Keep short rows (padded with NULL), drop rows with more cells than columns.
+def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """As read_csv, of a file that may not be there (an empty frame).
 
-    One extra column at the end of the schema catches the surplus cells. A file that is
-    not there gives an empty frame.
+    Short rows are padded with NULL, rows with more cells than the header dropped; the encoding (UTF-8, UTF-16,
+    else Latin-1) and the delimiter are found for each file.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    wide = T.StructType([*schema.fields, T.StructField(OVERFLOW, T.StringType())])
-    rows = (
-        spark.read.schema(wide)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("encoding", encoding)
-        .csv(path)
-    )
-    return rows.where(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
-
-
-def load_sources(spark: SparkSession, found: Sequence[tuple[str, str, T.StructType]]) -> list[DataFrame]:
-    """(adapter name, path, schema) triples to unified frames; absent paths are skipped."""
+    return read_csv(spark, path, schema)
+
+
+def load_sources(spark: SparkSession, found: Sequence[tuple[str, str]]) -> list[DataFrame]:
+    """(adapter name, path) pairs to unified frames; each adapter looks its columns up by name, absent paths are skipped."""
     return [
-        ADAPTERS[name](read_csv_tolerant(spark, path, schema))
-        for name, path, schema in found
+        ADAPTERS[name](read_csv_by_header(spark, path))
+        for name, path in found
         if path_exists(spark, path)
     ]
 

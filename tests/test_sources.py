@@ -23,7 +23,7 @@ def test_tolerant_scan_of_latin1_and_of_nothing(spark, tmp_path):
     path = tmp_path / "l.csv"
     path.write_bytes("a,b\ncaf\xe9,1\n".encode("latin-1"))
     schema = schemas.text_schema("a", "b")
-    assert files.read_csv_tolerant(spark, str(path), schema, "ISO-8859-1").first()["a"] == "café"
+    assert files.read_csv_tolerant(spark, str(path), schema).first()["a"] == "café"
     assert files.read_csv_tolerant(spark, str(tmp_path / "none.csv"), schema).count() == 0
 
 
@@ -31,7 +31,7 @@ def test_absent_sources_are_skipped(spark, tmp_path):
     path = tmp_path / "wfp.csv"
     path.write_text("date,price,commodity\n#date,#value,#item\n2020-01-05,3.5,Rice\nnever,1,Rice\n2020-01-06,x,Rice\n")
     schema = schemas.text_schema("date", "price", "commodity")
-    got = files.load_sources(spark, [("wfp_india", str(path), schema), ("mandi", str(tmp_path / "no.csv"), schemas.MANDI)])
+    got = files.load_sources(spark, [("wfp_india", str(path)), ("mandi", str(tmp_path / "no.csv"))])
     assert len(got) == 1
     assert [tuple(r) for r in got[0].collect()] == [(dt.date(2020, 1, 5), 3.5, "rice", "india_wfp")]
 
@@ -84,7 +84,7 @@ def test_adapter_defaults(spark):
         adapters.kalimati(raw.drop("average"))
     wide = spark.createDataFrame([("2020-03-01", "4", None, "7")], "Date string, GOLD string, SILVER string, OIL string")
     assert {r["commodity"] for r in adapters.wide_futures(wide).collect()} == {"gold", "oil"}
-    assert {r["commodity"] for r in adapters.wide_futures(wide, first=1, lower=False).collect()} == {"GOLD"}
+    assert {r["commodity"] for r in adapters.wide_futures(wide, commodities=["GOLD"], lower=False).collect()} == {"GOLD"}
     dated = spark.createDataFrame([("2020-03-01", "4", "Rice")], ["date", "price", "cm_name"])
     assert adapters.wfp_global(dated).first()["date"] == dt.date(2020, 3, 1)
 
