@@ -10,37 +10,47 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, table
+from .common import LOWER, UPPER, let, table
 
 #: Rules of the production query: verdict, host, path.
 RULES = (
     ("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
 )
-#: Sites of the labelled table of the production query, made up; each gets every form below, so that neither the
-#: prefix nor the path tells the labels apart.
+#: What unwanted and ordinary sites are about, and words that either kind adds to it.
 UNWANTED = (
-    "casino-royal", "online-casino", "casino-spins", "casino-win", "win-big", "free-bets", "best-bets", "sports-betting",
-    "poker-win", "jackpot-slots", "lotto-winner", "cheap-pills", "buy-pills", "pharmacy-pills", "diet-pills", "cheap-meds",
-    "viagra-shop", "adult-x", "xxx-adult", "adult-cams", "porn-x", "sexy-chat", "ads-track", "track-ads", "ad-tracker",
-    "click-ads", "popup-ads", "spam-farm", "link-farm", "seo-spam", "spam-mail", "payday-loans", "fast-loans", "free-money",
-    "crypto-win", "replica-watches", "free-prize", "cheap-deals", "malware-crack", "torrent-warez",
-)
+    "casino poker roulette blackjack slots jackpot lottery betting bookmaker wager viagra cialis pharmacy pills steroids dieting "
+    "payday loans creditfix forex binary cryptowin porn xxx escort webcams hookup replica knockoff warez torrents keygen "
+    "cracked malware phishing popunder clickbait linkfarm spam giveaway sweepstake miracle"
+).split()
 ORDINARY = (
-    "gardening", "weather", "history", "kitchen", "library", "travel", "museum", "railways", "teacher", "forest", "weaving",
-    "northern", "other", "thetimes", "stories", "harvest", "orchestra", "theory", "nation", "thread", "garden-notes", "inventor",
-    "astronomy", "mountain", "river", "lighthouse", "chess-club", "baker", "school", "region", "station", "earthen", "tinkering",
-    "handmade", "heritage", "painter", "ornithology", "statute", "ledger", "theatre", "nursing", "edition", "physics",
-    "kernel-docs", "bulletin", "tailor", "entrance", "reporter", "hatter", "inland", "another", "thirteen", "roads", "eastern",
-    "shore-walks", "students", "onions", "heather", "tides", "estate",
-)
+    "garden weather history library museum school river kitchen railway music science health travel forest council parish chess "
+    "sailing bakery poetry physics biology geology village harbour theatre painting pottery weaving cycling hiking birds horses "
+    "football cricket rowing climbing swimming nursing teaching law courts finance bank insurance housing energy water roads "
+    "bridges airport station market farm dairy orchard vineyard fishing forestry mining steel textile printing publishing journal "
+    "gazette herald tribune bulletin review letters archive records census statistics research college university academy"
+).split()
+ADDED = "online club zone hub direct best home world daily group info guide central first net new".split()
 FORMS = ("www.{}.test/en/12", "{}.test/de/840.html", "blog.{}.test/fr/3/", "m.{}.test/es/77")
+#: Sites made of each topic.
+SITES = 6
 FEATURES = 1 << 14
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    rows = [(f.format(site), y) for sites, y in ((UNWANTED, 1.0), (ORDINARY, 0.0)) for site in sites for f in FORMS]
-    structs = [F.struct(F.lit(f"http://{u}").alias("url"), F.lit(y).alias("label")) for u, y in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """(url, label): sites made by rule of a topic and an added word, before or behind it, with or without a hyphen.
+
+    Both kinds get the same added words, hyphens, prefixes and paths, so only the topics tell the labels apart.
+    """
+    rows = []
+    for topics, label in ((UNWANTED, 1.0), (ORDINARY, 0.0)):
+        for i, topic in enumerate(topics):
+            for j in range(SITES):
+                other = ADDED[(i + j * 5) % len(ADDED)]
+                site = ("{0}-{1}", "{0}{1}", "{1}-{0}", "{1}{0}", "{0}", "my-{0}-{1}")[j].format(topic, other)
+                rows.append((FORMS[(i + j) % len(FORMS)].format(site), label))
+    urls = F.array(*[F.lit(f"http://{u}") for u, _ in rows])
+    labels = F.array(*[F.lit(y) for _, y in rows])
+    return spark.range(1).select(F.inline(F.arrays_zip(urls.alias("url"), labels.alias("label"))))
 
 
 def host_of(url: Column) -> Column:
@@ -68,11 +78,13 @@ def char_ngrams(host: Column, path: Column, sizes: Sequence[int] = (3, 4, 5)) ->
     name = F.regexp_replace(host, r"\.[^.]*$", "")
     text = F.regexp_replace(F.concat(F.lit("^"), name, F.lit("$"), path), "[0-9]+", "0")
 
-    def grams(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
-        return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+    def grams(chars: Column, n: int) -> Column:
+        """Each character put together with those behind it; the work is linear in the length of the name."""
+        whole = F.transform(chars, lambda c, i: F.concat(c, *[F.get(chars, i + j) for j in range(1, n)]))
+        return F.when(F.size(chars) < n, F.array(text)).otherwise(F.slice(whole, F.lit(1), F.greatest(F.size(chars) - (n - 1), F.lit(0))))
 
-    return F.concat(*[grams(n) for n in sizes])
+    characters = F.array_remove(F.split(text, ""), "")
+    return let(characters, lambda chars: F.concat(*[grams(chars, n) for n in sizes]))
 
 
 def featured(urls: DataFrame, features: int) -> DataFrame:
@@ -91,7 +103,7 @@ def judge_urls(urls: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str,
     """urls(url, ...): append host, path, rule, verdict and score (the probability of being unwanted).
 
     A rule's verdict goes before the model's. A null url, or one without ://, has an empty host and path; no
-    rule fits it and the model judges the empty name. Repeated rows get equal results; input columns with
+    rule fits it and the model judges the empty name. A very long url is read whole, in linear time. Repeated rows get equal results; input columns with
     the names of the results are replaced.
     """
     names = ["host", "path", "rule", "verdict", "score"]
