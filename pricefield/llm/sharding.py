@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,12 +18,13 @@ def shard_rows(
 
     1. Draw about `sample` keys, each row with a chance in proportion to its size; the draw hangs on
        the row's hash alone, so reruns agree. The key is the hash of `group` (equal groups stay together).
-    2. Take the quantiles of the drawn keys as splitters of at most `ranges` key ranges.
-    3. Measure every range exactly over all rows. A range of more than twice its share (a group that is
-       itself that large) is subdivided by the hash of `tie`, whatever its group.
-    4. Lay ranges end to end and cut the line into `shards` parts of equal size.
+    2. Take the quantiles of the drawn keys as splitters of at most `ranges` key ranges. A key that alone
+       fills a range's share gets a range of its own, so that no other group shares its fate.
+    3. Measure every range exactly over all rows. A range that is larger than a shard (a group of
+       that size) is subdivided by the hash of `tie`; every other range stays whole.
+    4. Give the ranges and pieces, the largest first, to the shard that holds least.
     Rows are numbered inside blocks of about `block_rows`, so neither the numbering nor the placing
-    gathers a hot group; only one row per block meets in a single window.
+    gathers a hot group; only one row per block of a shard meets in a window.
 
     Null groups and ties hash as such (one group of nulls); equal rows may swap slots; an empty table
     gives an empty table. Input columns called `shard` or `slot` are replaced. size must be at least 1.
@@ -35,7 +38,9 @@ def shard_rows(
     ordered = Window.orderBy("key")  # at most `sample` drawn keys and a few more
     part = F.floor(F.sum("n").over(ordered) * ranges / F.sum("n").over(Window.partitionBy()))
     cut = drawn.select("key", part.alias("part")).groupBy("part").agg(F.min("key").alias("key"))
-    splitters = sorted(r.key for r in cut.where((F.col("part") > 0) & (F.col("part") < ranges)).collect())
+    cuts = {r.key for r in cut.where((F.col("part") > 0) & (F.col("part") < ranges)).collect()}
+    heavy = [r.key for r in drawn.where(F.col("n") * ranges >= sample).collect()]  # at most about `ranges`
+    splitters = sorted(cuts | {k for key in heavy for k in (key, key + 1) if k < 1 << 63})
 
     def range_of(k: Column) -> Column:
         if not splitters:
@@ -45,27 +50,23 @@ def shard_rows(
 
     kept = slim.select("size", "mark", range_of(F.col("key")).alias("range"))
     stats = {r.range: r for r in kept.groupBy("range").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()}
-    share = total / (len(splitters) + 1)
-    full = [bool(splitters or shards > 1) and i in stats and stats[i]["size"] > 2 * share or len(splitters) == 0
-            for i in range(len(splitters) + 1)]
-    pieces = [
-        max(1, -(-stats[i]["n"] // block_rows), -(-stats[i]["size"] * ranges // total) if full[i] else 1)
-        if i in stats else 1
-        for i in range(len(splitters) + 1)
-    ]
+    empty = {"size": 0, "n": 0}
+    held = [stats.get(i, empty) for i in range(len(splitters) + 1)]
+    parts = [-(-r["size"] * ranges // total) if r["size"] * shards > total else 1 for r in held]
+    pieces = [max(k, -(-r["n"] // (k * block_rows)) * k) for r, k in zip(held, parts)]
 
     def piece_of(at: Column, m: Column) -> Column:
         return F.floor(fraction(m) * F.get(F.array(*[F.lit(p) for p in pieces]), at))
 
-    blocks = (
-        kept.withColumn("piece", piece_of(F.col("range"), F.col("mark")))
-        .groupBy("range", "piece").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-        .withColumn("unit", F.when(F.get(F.array(*[F.lit(f) for f in full]), F.col("range")), F.col("piece")).otherwise(F.lit(-1)))
-    )
-    line, unit = Window.orderBy("range", "piece"), Window.partitionBy("range", "unit")
-    blocks = blocks.withColumn("before", F.sum("size").over(line) - F.col("size"))
-    middle = F.min("before").over(unit) + F.sum("size").over(unit) / 2
-    blocks = blocks.withColumn("shard", F.least(F.floor(middle * shards / total), F.lit(shards - 1)).cast("int"))
+    each = F.get(F.array(*[F.lit(p // k) for p, k in zip(pieces, parts)]), F.col("range"))
+    blocks = kept.withColumn("piece", piece_of(F.col("range"), F.col("mark"))).groupBy("range", "piece").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size"))
+    blocks = settle(blocks.withColumn("part", F.floor(F.col("piece") / each).cast("int")), "shard-blocks")
+    loads = blocks.groupBy("range", "part").agg(F.sum("size").alias("size")).collect()  # at most a few times `ranges`
+    places = dealt([(r["size"], r.range, r.part) for r in loads], shards)
+    places = [[places.get((i, j), 0) for j in range(k)] for i, k in enumerate(parts)]
+    spots = F.array(*[F.array(*[F.lit(x) for x in row]) for row in places])
+    blocks = blocks.withColumn("shard", F.get(F.get(spots, F.col("range")), F.col("part")))
     in_shard = Window.partitionBy("shard").orderBy("range", "piece")
     blocks = blocks.select(
         F.col("range").alias("__range"), F.col("piece").alias("__piece"), "shard",
@@ -83,6 +84,16 @@ def shard_rows(
     )
 
 
+def dealt(items: list[tuple[int, int, int]], shards: int) -> dict[tuple[int, int], int]:
+    """Each (size, range, part) to the shard that holds least so far, the largest first."""
+    load, out = [(0, s) for s in range(shards)], {}
+    for size, i, j in sorted(items, key=lambda x: (-x[0], x[1:])):
+        least, shard = heappop(load)
+        heappush(load, (least + size, shard))
+        out[i, j] = shard
+    return out
+
+
 def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
