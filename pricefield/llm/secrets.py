@@ -10,7 +10,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settle, table
+from .common import let, settle, table
 
 
 @dataclass(frozen=True)
@@ -84,8 +84,8 @@ def postings(docs: DataFrame, trigrams: list[str], block_bits: int = BLOCK_BITS)
     It holds the trigrams that the rules ask for. A block is a range of 2^block_bits ids, so no posting
     list grows with the corpus, however common its trigram is.
     """
-    low = F.lower("text")
-    held = F.filter(F.array(*[F.lit(t) for t in trigrams]), lambda t: F.contains(low, t))
+    every = F.array(*[F.lit(t) for t in trigrams])
+    held = let(F.lower("text"), lambda low: F.filter(every, lambda t: F.contains(low, t)))
     rows = docs.where("doc_id IS NOT NULL").select("doc_id", F.explode(held).alias("trigram"))
     block = F.shiftright("doc_id", block_bits).alias("block")
     return rows.groupBy(block, "trigram").agg(F.collect_set("doc_id").alias("ids"))
