@@ -34,6 +34,11 @@ AGAINST = frozenset(
 )
 FOR = frozenset("article articlebody body-text content entry main post story text".split())
 
+#: First words of a class that says what a page has or is, not what the element holds (`has-sidebar`).
+STATES = frozenset("has no with without is not single".split())
+#: Elements that hold the page or the article whatever their classes say.
+FRAMES = frozenset("html body article main".split())
+
 TOKEN = re.compile(
     rf"<!--(?:.*?-->|.*\Z)|<({SKIPPED})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>(?:.*?</\1\s*>|.*\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[/!?]?[a-zA-Z\[!?/][^>]*+(?:>|\Z)",
@@ -43,6 +48,22 @@ NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'
 UNIT = 100  # capacities are whole numbers of 1 / UNIT
 
 
+def named_bias(attributes: str) -> float:
+    """What the class, id and role words of an element say.
+
+    The last part of a name tells what it is (`post-comments` are comments): such a word, or a whole name, counts in
+    full. A word before it only hints (`comments-open`), and a name that tells a state says nothing.
+    """
+    full, hints = set(), set()
+    for m in NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = re.split(r"[_-]+", name.strip("_-"))
+            if len(parts) == 1 or parts[0] not in STATES:
+                full.update((name, parts[-1]))
+                hints.update(parts)
+    return -6.0 if full & AGAINST else 3.0 if hints & FOR else -3.0 if hints & AGAINST else 0.0
+
+
 class Box:
     """An open element."""
 
@@ -53,13 +74,9 @@ class Box:
         self.depth = parent.depth + 1 if parent else 0
         self.inside = tag in CONTENT or (parent is not None and parent.inside)
         self.link = tag == "a" or (parent is not None and parent.link)
-        words: set[str] = set()
-        if attributes and "=" in attributes:
-            for m in NAMES.finditer(attributes):
-                whole = (m[1] or m[2] or m[3] or "").lower()
-                words.update(whole.split())
-                words.update(re.split(r"[\s_-]+", whole))
-        bias = -6.0 if tag in BOILERPLATE or words & AGAINST or (tag == "header" and not self.inside) else 3.0 if tag in CONTENT or words & FOR else 0.0
+        bias = -6.0 if tag in BOILERPLATE or (tag == "header" and not self.inside) else 3.0 if tag in CONTENT else 0.0
+        if tag not in FRAMES and bias == 0.0 and "=" in attributes:
+            bias = named_bias(attributes)
         above = parent.bias if parent else 0.0
         self.bias = min(above, bias) if min(above, bias) < 0 else max(above, bias)
 
