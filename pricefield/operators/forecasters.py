@@ -341,14 +341,17 @@ def trend_seasonal_fit(
     df: DataFrame, series: Sequence[str], y: str = "price", date: str = "date", changepoints: int = 10,
     ridge: float = 0.1, mode: str = "add", regressors: Sequence[str] = (),
 ) -> DataFrame:
-    """Per series the ridge coefficients of trend, weekly and yearly terms; mode 'mul' fits logs."""
+    """Per series the ridge coefficients of trend, weekly, yearly and regressor terms; mode 'mul' fits logs.
+
+    Days that miss the value or a regressor take no part in the fit.
+    """
     keys = list(series)
     ends = df.groupBy(*keys).agg(F.min(date).alias("_begin"), F.max(date).alias("_end"))
     rows = _positions(df, ends, keys, date)
     blocks = design(F.col("_t"), F.col("_day"), changepoints, regressors)
     target = F.log(y) if mode == "mul" else F.col(y).cast("double")
     rows = rows.select(*keys, "_begin", "_end", F.concat(*blocks.values()).alias("_x"), target.alias("_y"))
-    rows = rows.where("_y IS NOT NULL")
+    rows = rows.where(F.col("_y").isNotNull() & ~F.exists("_x", lambda v: v.isNull()))
     out = T.StructType([
         *_fields(df, keys),
         T.StructField("_begin", T.DateType()),
@@ -401,11 +404,26 @@ def forecast_components(
 
 def trend_seasonal_forecast(
     df: DataFrame, series: Sequence[str], periods: int = 30, include_history: bool = False, y: str = "price",
-    **options,
+    future: DataFrame | None = None, **options,
 ) -> DataFrame:
+    """Fit and forecast `periods` days per series.
+
+    Regressors of the days to come are read from future(series, date, regressors); those of known days come
+    from df. A day without them has no forecast.
+    """
+    regressors = list(options.get("regressors", ()))
+    if regressors and future is None and periods > 0:
+        raise ValueError("a forecast with regressors needs their values on the days to come")
     fits = trend_seasonal_fit(df, series, y, **options)
-    days = future_frame(df, series, periods, include_history)
-    shared = {k: v for k, v in options.items() if k in ("date", "changepoints", "mode")}
+    date = options.get("date", "date")
+    days = future_frame(df, series, periods, include_history, date)
+    if regressors:
+        wanted = [*series, date, *regressors]
+        known = df.select(wanted)
+        if future is not None:
+            known = known.unionByName(future.select(wanted).join(df.select(*series, date), [*series, date], "left_anti"))
+        days = days.join(known, [*series, date], "left")
+    shared = {k: v for k, v in options.items() if k in ("date", "changepoints", "mode", "regressors")}
     return forecast_components(days, fits, series, **shared)
 
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arithmetic import EPS, INF
+from ..functions.arithmetic import EPS, INF, correlation_pvalue
 from .ordering import BLOCK_ROWS, average_rank, value_positions
 
 HIGHER_IS_BETTER = {"r2", "directional_acc"}
@@ -97,7 +96,7 @@ def forecast_metrics(
 
 
 def information_coefficient(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """Spearman correlation per model, ties by average rank."""
+    """Spearman correlation per model, ties by average rank, and its two-sided p-value."""
     by = list(by)
     known = df.select(*by, "y_true", "y_pred").where("y_true IS NOT NULL AND y_pred IS NOT NULL")
     pairs = known
@@ -106,17 +105,10 @@ def information_coefficient(df: DataFrame, by: Sequence[str] = ("model",)) -> Da
         pairs = pairs.join(ranks, [*by, side])
     a, b = F.col("_r_y_true"), F.col("_r_y_pred")
     spread = F.stddev_pop(a) * F.stddev_pop(b)
-    return pairs.groupBy(*by).agg(
+    found = pairs.groupBy(*by).agg(
         F.try_divide(F.covar_pop(a, b), spread).alias("ic"), F.count(F.lit(1)).alias("n")
     )
-
-
-def ic_pvalue(ic: float, n: int) -> float:
-    """Two-sided p-value of a Spearman correlation in the normal limit of its t statistic."""
-    if n < 3 or abs(ic) >= 1:
-        return 0.0 if n >= 3 else math.nan
-    t = ic * math.sqrt((n - 2) / (1 - ic * ic))
-    return math.erfc(abs(t) / math.sqrt(2))
+    return found.withColumn("ic_pvalue", correlation_pvalue(F.col("ic"), F.col("n")))
 
 
 def residuals(df: DataFrame) -> DataFrame:

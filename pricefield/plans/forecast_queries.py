@@ -78,7 +78,27 @@ def _avg_rank(c: str, part: str) -> str:
     SELECT model, {r('corr(a, b)', 8, 'ic')}, count(*) AS n FROM (
       SELECT model, {_avg_rank('y_true', 'model')} AS a, {_avg_rank('y_pred', 'model')} AS b FROM forecasts) GROUP BY model""")
 def _(spark, d):
-    return rounded(metrics.information_coefficient(forecasts(spark, d)), 8)
+    return rounded(metrics.information_coefficient(forecasts(spark, d)).drop("ic_pvalue"), 8)
+
+
+# The terms of the power series as ratios of gamma functions, all of one sign: 1 - p is their sum.
+IC_PVALUE = """1 - 2 * sqrt(x) * exp(h * ln(1 - x) + lgamma(h + 0.5) - lgamma(h) - 0.5 * ln(pi())) * list_sum(list_transform(
+    range(0, 4000), lambda k: exp(lgamma(h + 0.5 + k) - lgamma(h + 0.5) - lgamma(1.5 + k) + lgamma(1.5) + k * ln(x))))"""
+
+
+@query("ic_significance", f"""
+    WITH i AS (
+      SELECT model, commodity, year, corr(a, b) AS ic, count(*) AS n FROM (
+        SELECT model, commodity, year, {_avg_rank('y_true', 'model, commodity, year')} AS a, {_avg_rank('step', 'model, commodity, year')} AS b
+        FROM (SELECT model, commodity, year(date) AS year, y_true, idx % 97 AS step FROM forecasts))
+      GROUP BY model, commodity, year),
+    p AS (SELECT *, greatest(ic * ic, 1e-300) AS x, (n - 2) / 2.0 AS h FROM i WHERE n >= 3)
+    SELECT model, commodity, CAST(year AS INT) AS year, n, {r('ic', 8)}, {r(IC_PVALUE, 8, 'ic_pvalue')} FROM p""")
+def _(spark, d):
+    """Rank correlation of the price with a saw tooth, per model, commodity and year: weak ones, so p-values vary."""
+    saw = forecasts(spark, d).withColumns({"year": F.year("date"), "y_pred": (F.col("idx") % 97).cast("double")})
+    found = metrics.information_coefficient(saw, ["model", "commodity", "year"])
+    return rounded(found.where("n >= 3"), 8)
 
 
 @query("model_wins", f"""
@@ -92,6 +112,15 @@ def _(spark, d):
     return metrics.model_wins(table_of_metrics(spark, d), FIVE)
 
 
+@query("residual_histogram", f"""
+    WITH e AS (SELECT model, {ERR} AS x FROM forecasts), st AS (SELECT model, min(x) AS lo, max(x) AS hi FROM e GROUP BY model)
+    SELECT model, bin, {s('lo + bin * ((hi - lo) / 30)', '"left"')}, {s('lo + (bin + 1) * ((hi - lo) / 30)', '"right"')}, count(*) AS n
+    FROM (SELECT model, lo, hi, CAST(least(floor((x - lo) / ((hi - lo) / 30)), 29) AS INT) AS bin FROM e JOIN st USING (model))
+    GROUP BY model, bin, lo, hi""")
+def _(spark, d):
+    return single(profile.histogram_by(metrics.residuals(forecasts(spark, d)), ["model"], "residual", 30))
+
+
 @query("residuals", f"SELECT model, commodity, idx, {t(ERR, 'residual')} FROM forecasts")
 def _(spark, d):
     return tidy(metrics.residuals(forecasts(spark, d)).select("model", "commodity", "idx", "residual"))
@@ -221,6 +250,20 @@ def _(spark, d):
     return forecasters.trend_seasonal_fit(daily_filled(spark, d), KEY, mode="mul")
 
 
+@query("trend_seasonal_conditions", f"""
+    SELECT commodity, count(*) AS n, CAST(0 AS DOUBLE) AS mean_residual, CAST(0 AS DOUBLE) AS trend_residual
+    FROM daily_filled GROUP BY commodity""")
+def _(spark, d):
+    """First-order conditions of the fit: residuals are orthogonal to the unpenalised level and slope."""
+    rows = daily_filled(spark, d)
+    parts = forecasters.trend_seasonal_forecast(rows, KEY, 0, include_history=True)
+    both = rows.join(parts.select(*KEY, "date", "yhat"), [*KEY, "date"])
+    share = (F.col("price") - F.col("yhat")) / 1e5
+    day = F.datediff("date", F.lit("1992-01-01").cast("date")) / 1e4
+    return rounded(both.groupBy(*KEY).agg(
+        F.count(share).alias("n"), F.avg(share).alias("mean_residual"), F.avg(share * day).alias("trend_residual")), 6)
+
+
 @query("forecast_components")
 def _(spark, d):
     return forecasters.trend_seasonal_forecast(daily_filled(spark, d), KEY, 30, include_history=True)
@@ -252,6 +295,19 @@ def _(spark, d):
     return scored.select("commodity", "idx", "label", "y_pred")
 
 
+def _regressor_query(kind: str) -> None:
+    @query(f"window_regressor_{kind}")
+    def _(spark, d):
+        wins = split_windows(spark, d)
+        model = forecasters.fit_window_regressor(wins.where("split = 'train'"), kind)
+        scored = model.transform(forecasters.flat_vectors(wins.where("split = 'test'")))
+        return scored.select("commodity", "idx", "label", "y_pred")
+
+
+_regressor_query("huber")
+_regressor_query("gbt")
+
+
 @query("batch_score")
 def _(spark, d):
     wins = split_windows(spark, d)

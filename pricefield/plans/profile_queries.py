@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ..operators import daily, panel, profile
 from ..operators.ordering import series_index
@@ -51,6 +52,21 @@ def _(spark, d):
     return profile.distinct_counts(prices_quotes(spark, d), ["commodity", "state", "market"])
 
 
+SKETCHED = ("row_id", "price", "date", "commodity")
+
+
+@query("distinct_counts_merged", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_unique, TRUE AS near FROM prices_orders" for c in SKETCHED))
+def _(spark, d):
+    """Daily sketches merged over all days, held against the exact counts: five standard errors at most."""
+    rows = prices_orders(spark, d)
+    exact = profile.distinct_counts(rows, SKETCHED)
+    merged = profile.merged_distinct_counts(profile.distinct_sketches(rows, ["date"], SKETCHED), SKETCHED)
+    both = exact.join(merged.withColumnRenamed("n_unique", "estimate"), "column")
+    off = F.abs(F.col("estimate") - F.col("n_unique"))
+    return both.select("column", "n_unique", (off <= F.greatest(F.lit(1.0), 0.0325 * F.col("n_unique"))).alias("near"))
+
+
 @query("top_values", """
     SELECT commodity, count(*) AS n FROM prices_quotes GROUP BY commodity ORDER BY n DESC, commodity LIMIT 20""")
 def _(spark, d):

@@ -78,6 +78,18 @@ def _(spark, d):
     return sequences.window_batches(wins, 256).select("idx", "label", "batch_id")
 
 
+@query("window_batches_shuffled", f"""
+    WITH i AS (SELECT {GLOBAL} AS idx, lead(price, 60) OVER (ORDER BY date, row_id) AS label FROM prices_orders),
+    n AS (SELECT count(*) AS n FROM i WHERE label IS NOT NULL)
+    SELECT unnest(range(0, (n + 255) // 256)) AS batch_id, least(256, n - unnest(range(0, (n + 255) // 256)) * 256) AS n, TRUE AS mixed FROM n""")
+def _(spark, d):
+    """Shuffled batches: all of the full size but the last, and none a run of neighbours."""
+    wins = sequences.sequence_windows(indexed(spark, d), [], ["price"], "price", LENGTH)
+    dealt = sequences.window_batches(wins.select("idx"), 256, seed=7).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), (F.max("idx") - F.min("idx")).alias("_span"))
+    return dealt.select("batch_id", "n", ((F.col("_span") >= F.col("n")) | (F.col("n") < 3)).alias("mixed"))
+
+
 @query("cv_folds", f"""
     WITH i AS (SELECT row_id, {GLOBAL} AS idx, count(*) OVER () AS n FROM prices_orders),
     f AS (SELECT CAST(unnest(range(5)) AS INT) AS fold),

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from pricefield.functions.arithmetic import correlation_pvalue
 from pricefield.operators import ensemble, forecasters, metrics, profile, selection
 
 
@@ -141,6 +142,34 @@ def test_trend_seasonal_follows_the_signal(df, pdf, mode):
         np.testing.assert_allclose(a["trend"] * a["weekly"] * a["yearly"], a["yhat"], rtol=1e-9)
 
 
+def test_trend_seasonal_uses_its_regressors(spark):
+    rng = np.random.default_rng(3)
+    start, n, ahead = dt.date(2020, 1, 1), 300, 20
+    x = rng.normal(0, 1, n + ahead)
+    days = [start + dt.timedelta(days=i) for i in range(n + ahead)]
+    pdf = pd.DataFrame({"k": "a", "date": days, "x": x, "price": 100 + 5 * x})
+    known, future = spark.createDataFrame(pdf[:n]), spark.createDataFrame(pdf[n:].drop(columns="price"))
+    options = {"regressors": ["x"], "changepoints": 3}
+    with pytest.raises(ValueError):
+        forecasters.trend_seasonal_forecast(known, ["k"], ahead, **options)
+    got = forecasters.trend_seasonal_forecast(known, ["k"], ahead + 1, future=future, **options).orderBy("date").toPandas()
+    np.testing.assert_allclose(got["yhat"][:ahead], 100 + 5 * x[n:], atol=0.2)
+    assert len(got) == ahead + 1 and math.isnan(got["yhat"][ahead])  # no regressor, no forecast
+    past = forecasters.trend_seasonal_forecast(known, ["k"], 0, include_history=True, **options).orderBy("date").toPandas()
+    left = pdf["price"][:n] - past["yhat"]
+    # First-order conditions of the ridge: free level, penalised regressor.
+    coef = forecasters.trend_seasonal_fit(known, ["k"], **options).first()["coef"]
+    assert abs(left.sum()) < 1e-4
+    assert abs((left * x[:n]).sum() - 0.1 * coef[-1]) < 1e-4
+
+
+def test_trend_seasonal_skips_days_without_regressor(spark):
+    start = dt.date(2020, 1, 1)
+    rows = [("a", start + dt.timedelta(days=i), 10.0 + (i % 5), None if i == 7 else float(i % 5)) for i in range(60)]
+    known = spark.createDataFrame(rows, "k string, date date, price double, x double")
+    assert forecasters.trend_seasonal_fit(known, ["k"], regressors=["x"], changepoints=2).first()["n"] == 59
+
+
 def test_intervals_and_names():
     assert forecasters.list_models() == ["ar", "baseline", "gbt", "holt_winters", "huber", "ridge", "trend_seasonal"]
     with pytest.raises(ValueError):
@@ -181,8 +210,30 @@ def test_spearman_with_ties(spark):
     rows = long_table(spark, [("m", i, float(y[i]), float(p[i])) for i in range(200)])
     want = np.corrcoef(pd.Series(y).rank(), pd.Series(p).rank())[0, 1]
     assert metrics.information_coefficient(rows).first()["ic"] == pytest.approx(want)
-    assert 0 <= metrics.ic_pvalue(want, 200) <= 1
-    assert metrics.ic_pvalue(0.9, 500) < 1e-6
+
+
+def student_two_sided(t: float, df: int) -> float:
+    """Twice the upper tail of Student's t, by the trapezoid rule over an angle: t = sqrt(df) tan(u)."""
+    u = np.linspace(math.atan(t / math.sqrt(df)), math.pi / 2, 400_001)
+    area = np.trapezoid(np.cos(u) ** (df - 1), u)
+    return 2 * area * math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(math.pi)
+
+
+def test_correlation_pvalues_equal_student(spark):
+    cases = [(r, n) for r in (0.0, 1e-6, 0.01, 0.1, -0.3, 0.5, 0.75, -0.9, 0.99, 0.9999) for n in (3, 4, 5, 12, 60, 1000, 250_000)]
+    rows = spark.createDataFrame(cases, "r double, n long")
+    got = rows.select("r", "n", correlation_pvalue(F.col("r"), F.col("n")).alias("p")).collect()
+    for row in got:
+        df = row["n"] - 2
+        t = abs(row["r"]) * math.sqrt(df / (1 - row["r"] ** 2))
+        assert row["p"] == pytest.approx(student_two_sided(t, df), abs=1e-9), row
+    # Printed table of Student's t, two-sided 5 % points.
+    for df, t in ((1, 12.7062047), (2, 4.30265273), (10, 2.22813885), (30, 2.04227246), (120, 1.97993041)):
+        r = t / math.sqrt(df + t * t)
+        p = spark.range(1).select(correlation_pvalue(F.lit(r), F.lit(df + 2))).first()[0]
+        assert p == pytest.approx(0.05, abs=1e-8)
+    odd = spark.createDataFrame([(0.5, 2), (None, 9), (1.0, 9), (-1.0, 3)], "r double, n long")
+    assert [x[0] for x in odd.select(correlation_pvalue(F.col("r"), F.col("n"))).collect()] == [None, None, 0.0, 0.0]
 
 
 def test_wins_tie_goes_to_first_name(spark):
