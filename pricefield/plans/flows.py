@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.arithmetic import number
 from ..functions.text import strict_date
-from ..operators import cleaning, daily, features, forecasters, metrics, scaling, selection, sequences
+from ..operators import cleaning, daily, ensemble, features, forecasters, metrics, scaling, selection, sequences
 from ..operators.ordering import fill_rows, series_index
+from ..operators.profile import rank_results
 from ..sources.adapters import dedup_quotes, union_sources
 from ..sources.files import materialize
 from ..sources.schemas import date_column, normalize_header, rename_escaped
@@ -101,3 +102,22 @@ def fit_and_score(prepared: Prepared, kinds: Sequence[str] = ("ridge", "huber",
         scored = out if scored is None else scored.unionByName(out)
     series = [c for c in scored.columns if c not in ("idx", "y_true", "y_pred", "model")]
     return models, metrics.forecast_metrics(scored, series)
+
+
+def hybrid_flow(forecasts: DataFrame, keys: Sequence[str], known: Column, n: int = 3, name: str = "hybrid") -> tuple[DataFrame, DataFrame]:
+    """Base results, the n best models, a stacking model on them, and the table with the new row ranked again.
+
+    `known` marks the rows on which models are ranked and the stacking model is fitted; the results are those of
+    all other rows. Returns (results, the stacked forecasts). Rows that lack one of the n models are not stacked.
+    """
+    scores = {"rmse": metrics.rmse(), "mae": metrics.mae(), "mape": metrics.mape(), "r2": metrics.r2(), "n": F.count(F.lit(1))}
+    fitted, rest = forecasts.where(known), forecasts.where(~known)
+    best = [row["model"] for row in ensemble.top_models(metrics.metric_table(fitted, scores), n).collect()]  # n rows
+
+    def stacked(rows: DataFrame) -> DataFrame:
+        return ensemble.stack_predictions(rows, best, [*keys, "y_true"])
+
+    learner = ensemble.fit_stacking(stacked(fitted), best)
+    made = ensemble.apply_stacking(learner, stacked(rest), best)
+    made = made.select(F.lit(name).alias("model"), *keys, "y_true", F.col("y_stack").alias("y_pred"))
+    return rank_results(metrics.metric_table(rest, scores), metrics.metric_table(made, scores)), made

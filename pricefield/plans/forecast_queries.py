@@ -13,6 +13,7 @@ from ..operators.ordering import series_index
 from ..session import shared_folder
 from ..sources.files import materialize
 from ..sources.views import daily_filled, forecasts, prices_orders
+from .flows import hybrid_flow
 from .ingest_queries import RESULTS_SQL, results_table
 from .registry import query, r, rounded, s, single, t, tidy
 
@@ -216,6 +217,11 @@ def _(spark, d):
     return ensemble.apply_stacking(model, test, MODELS)
 
 
+@query("hybrid_flow")
+def _(spark, d):
+    return hybrid_flow(forecasts(spark, d), KEYS, F.col("date") < F.lit("1999-01-01").cast("date"), 2)[0]
+
+
 # --- forecasters -----------------------------------------------------------------------
 
 @query("holt_winters")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from ..functions.arithmetic import number
 from ..functions.text import strict_date
 from ..operators import daily, profile
 from ..operators.metrics import mae, mape, r2, rmse
-from ..sources import adapters
+from ..session import shared_folder
+from ..sources import adapters, files
 from ..sources.schemas import column_or, normalize_header
 from ..sources.views import daily_commodity, forecasts, prices_events, prices_orders, prices_quotes
 from .flows import combine_sources, preprocess_quotes
@@ -199,6 +202,24 @@ def _(spark, d):
     return rounded(rounded(profile.rank_results(res, hybrid), 4, ["rmse", "mae", "mape"]), 6, ["r2"])
 
 
+@query("results_published", f"""
+    WITH res AS ({RESULTS_SQL}),
+    added AS (SELECT 'Hybrid' AS model, avg(rmse) AS rmse, avg(r2) AS r2, CAST(sum(params) AS BIGINT) AS params FROM res)
+    SELECT v AS version, model, {r('rmse', 4)}, {r('r2', 6)}, params
+    FROM (SELECT 1 AS v, model, rmse, r2, params FROM res UNION ALL SELECT 2, model, rmse, r2, params FROM res
+          UNION ALL SELECT 2, * FROM added)""")
+def _(spark, d):
+    """Both versions of a results table to which a row was added."""
+    folder = f"{shared_folder(spark)}/results-{uuid.uuid4().hex}"
+    res = results_table(spark, d).select("model", "rmse", "r2", "params")
+    files.append_published(spark, folder, res)
+    hybrid = files.read_published(spark, folder).agg(
+        F.lit("Hybrid").alias("model"), F.avg("rmse").alias("rmse"), F.avg("r2").alias("r2"), F.sum("params").alias("params"))
+    files.append_published(spark, folder, hybrid)
+    first, second = (files.read_published(spark, folder, v).withColumn("version", F.lit(v)) for v in (1, 2))
+    return rounded(rounded(first.unionByName(second), 4, ["rmse"]), 6, ["r2"])
+
+
 @query("rank_models", f"""
     WITH res AS ({RESULTS_SQL})
     SELECT model, {r('rmse', 4)}, {r('mae', 4)}, {r('mape', 4)}, {r('r2', 6)}, params

@@ -87,6 +87,73 @@ def append_results(spark: SparkSession, old_path: str, new_rows: DataFrame, new_
     return out
 
 
+def _entry(number: int) -> str:
+    return f"{number:010d}"
+
+
+def result_versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the published versions of a results table, in rising order."""
+    listing = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest")
+    fs = listing.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(listing):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(listing)]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def read_published(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """The rows of one version of a results table, by default of the last one.
+
+    A version's files never change, so a reader keeps its rows whatever is published later.
+    """
+    known = result_versions(spark, folder)
+    wanted = version if version is not None else (known[-1] if known else None)
+    if wanted not in known:
+        raise ValueError(f"no version {version or ''} of results in {folder}; known: {known}")
+    place = spark.read.text(f"{folder}/manifest/{_entry(wanted)}").first()["value"]
+    return spark.read.parquet(f"{folder}/data/{place}")
+
+
+def publish_results(spark: SparkSession, folder: str, rows: DataFrame, after: int) -> int:
+    """Write rows as version after + 1; FileExistsError if another writer published that version first.
+
+    The rows go to files of their own. The version exists from the moment its manifest entry, written aside, is
+    renamed to its number; the rename never replaces an entry. A writer that fails before leaves no version.
+    """
+    from py4j.protocol import Py4JJavaError
+
+    name, number = uuid.uuid4().hex, after + 1
+    rows.write.parquet(f"{folder}/data/{name}")
+    hadoop, settings = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    aside, entry = hadoop.Path(f"{folder}/manifest/.{name}"), hadoop.Path(f"{folder}/manifest/{_entry(number)}")
+    out = aside.getFileSystem(settings).create(aside, False)
+    try:
+        out.write(bytearray(name.encode()))
+    finally:
+        out.close()
+    keep = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        hadoop.FileContext.getFileContext(aside.getFileSystem(settings).getUri(), settings).rename(aside, entry, keep)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        raise FileExistsError(f"version {number} of {folder} was published by another writer") from None
+    return number
+
+
+def append_published(spark: SparkSession, folder: str, new_rows: DataFrame, attempts: int = 5) -> int:
+    """Add rows to the last version, rank by r2 and publish; starts anew when another writer was faster."""
+    for _ in range(attempts):
+        known = result_versions(spark, folder)
+        last = known[-1] if known else 0
+        rows = rank_results(read_published(spark, folder, last), new_rows) if known else new_rows.orderBy(F.desc("r2"), "model")
+        try:
+            return publish_results(spark, folder, rows, last)
+        except FileExistsError:
+            continue
+    raise FileExistsError(f"{folder}: other writers were faster {attempts} times")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df to a new table in the shared folder and read it back: a cut of a long lineage."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

@@ -1,6 +1,10 @@
 """The modular flow from typed quotes to compared models."""
 
-from pricefield.plans.flows import FlowConfig, fit_and_score, prepare_windows
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pricefield.plans.flows import FlowConfig, fit_and_score, hybrid_flow, prepare_windows
 from pricefield.sources.views import prices_events, prices_orders
 
 SF = "/root/testdata/sf0.001"
@@ -24,3 +28,22 @@ def test_short_series_make_no_window(spark):
     config = FlowConfig(length=60, lags=[1], windows=[3], n_features=2, external=False)
     done = prepare_windows(prices_events(spark, SF), ["commodity"], "price", config)
     assert done.windows.count() == 0
+
+
+def test_hybrid_flow_equals_least_squares(spark):
+    rng = np.random.default_rng(8)
+    y = rng.normal(50, 10, 400)
+    made = {"a": y + rng.normal(0, 3, 400), "b": 0.5 * y + rng.normal(0, 2, 400) + 25, "c": rng.normal(50, 10, 400)}
+    rows = [(m, i, float(y[i]), float(p[i])) for m, p in made.items() for i in range(400)]
+    table = spark.createDataFrame(rows, "model string, idx long, y_true double, y_pred double")
+    results, stacked = hybrid_flow(table, ["idx"], F.col("idx") < 300, 2)
+    x = np.stack([np.ones(400), made["a"], made["b"]], 1)
+    coef = np.linalg.lstsq(x[:300], y[:300], rcond=None)[0]
+    got = stacked.orderBy("idx").toPandas()
+    assert got["idx"].tolist() == list(range(300, 400))
+    np.testing.assert_allclose(got["y_pred"], x[300:] @ coef, atol=0.02)
+    ranked = results.toPandas()
+    assert set(ranked["model"]) == {"a", "b", "c", "hybrid"} and ranked["model"].iloc[0] == "hybrid"
+    assert ranked["r2"].is_monotonic_decreasing
+    rmse = np.sqrt(((y[300:] - got["y_pred"]) ** 2).mean())
+    assert ranked["rmse"].iloc[0] == pytest.approx(rmse)

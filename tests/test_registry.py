@@ -13,7 +13,7 @@ from tools.compare import connect, differences
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {
     "ensemble_stacking", "holt_winters", "ar_select", "ar_forecast", "trend_seasonal_fit", "forecast_components",
-    "window_regressor", "window_regressor_huber", "window_regressor_gbt", "batch_score", "qq_points",
+    "window_regressor", "window_regressor_huber", "window_regressor_gbt", "batch_score", "qq_points", "hybrid_flow",
 }
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from pricefield.functions.arithmetic import clip, div_inf, zero_if_not_finite
 from pricefield.functions.text import date_from_parts, is_farm_product, lenient_date, strict_date
@@ -154,3 +155,28 @@ def test_prices_that_are_missing_have_no_weight(spark):
     day = dt.date(2020, 1, 1)
     rows = spark.createDataFrame([("a", day, 10.0, 9.0), ("a", day, None, 99.0)], "k string, date date, price double, arrivals double")
     assert daily.daily_weighted(rows, ["k"]).first()["price"] == 10.0
+
+
+def test_published_results_keep_their_versions(spark, tmp_path):
+    folder = str(tmp_path / "results")
+
+    def row(model, r2):
+        return spark.createDataFrame([(model, r2)], "model string, r2 double")
+
+    with pytest.raises(ValueError):
+        files.read_published(spark, folder)
+    assert files.append_published(spark, folder, row("a", 0.5)) == 1
+    old = files.read_published(spark, folder)
+    assert files.append_published(spark, folder, row("b", 0.9)) == 2
+    assert [r["model"] for r in old.collect()] == ["a"]
+    assert [r["model"] for r in files.read_published(spark, folder).orderBy(F.desc("r2")).collect()] == ["b", "a"]
+    assert [r["model"] for r in files.read_published(spark, folder, 1).collect()] == ["a"]
+    # A writer that read version 1 may not replace version 2.
+    with pytest.raises(FileExistsError):
+        files.publish_results(spark, folder, row("c", 0.1), 1)
+    assert files.read_published(spark, folder).count() == 2
+    # A writer that fails while it writes its rows leaves no version.
+    broken = row("d", 0.1).withColumn("r2", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        files.publish_results(spark, folder, broken, 2)
+    assert files.result_versions(spark, folder) == [1, 2]
