@@ -24,8 +24,8 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], exact: bool = True) -> D
 def distinct_sketches(df: DataFrame, by: Sequence[str], cols: Sequence[str], lg_k: int = 14) -> DataFrame:
     """One sketch per group and column, to be stored and merged later.
 
-    A sketch takes at most about 2^lg_k bytes whatever it counts; the standard error of an estimate is about
-    0.83 / sqrt(2^lg_k), 0.65 % by default. Missing values are not counted.
+    A sketch takes at most about 2^lg_k bytes whatever it counts; the standard error of a merged
+    estimate is about 1.04 / sqrt(2^lg_k), 0.81 % by default. Missing values are not counted.
     """
     return df.groupBy(*by).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(lg_k)).alias(f"{c}_sketch") for c in cols])
 

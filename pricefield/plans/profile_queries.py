@@ -58,7 +58,7 @@ SKETCHED = ("row_id", "price", "date", "commodity")
 @query("distinct_counts_merged", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_unique, TRUE AS near FROM prices_orders" for c in SKETCHED))
 def _(spark, d):
-    """Daily sketches merged over all days, held against the exact counts: five standard errors at most."""
+    """Daily sketches merged over all days, held against the exact counts: four standard errors at most."""
     rows = prices_orders(spark, d)
     exact = profile.distinct_counts(rows, SKETCHED)
     merged = profile.merged_distinct_counts(profile.distinct_sketches(rows, ["date"], SKETCHED), SKETCHED)
