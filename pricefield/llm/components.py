@@ -13,11 +13,15 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn: every node hangs its neighbours on the smallest one it knows,
     until nothing changes. Each step is two aggregations and joins that split hot nodes; the tables between
-    steps are written, so the plan stays short.
+    steps are written, so the plan stays short. Links that are stars already, as this function returns them,
+    take one step.
     """
+    def state_of(edges: DataFrame):
+        return edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
+
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges = settle(edges, "links")
-    seen = None
+    seen = state_of(edges)
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -26,7 +30,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         edges = settle(small.where("u <> v").distinct(), "links")
-        state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
+        state = state_of(edges)
         if state == seen:
             break
         seen = state

@@ -23,8 +23,9 @@ SLACK = 4.5
 #: Signatures of a bucket that are compared as one block, and tokens hashed at once.
 BLOCK = 64
 TOKENS = 1 << 13
-#: Rounds in which every class is compared with one hub before whole buckets are.
-ROUNDS = 3
+#: Rounds, at most, in which every class is compared with one hub before whole buckets are. A round that links less
+#: than this share of its pairs is the last: the groups are joined, and whole buckets are compared for the rest.
+ROUNDS, WORTH = 3, 0.02
 
 
 def permutation_constants(permutations: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,9 +99,9 @@ def hub_pairs(rows: DataFrame, used: DataFrame, percent: int) -> DataFrame:
     return most.select(F.col("ca").alias("a"), F.col("hub").alias("b"))
 
 
-def joined(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """rows(key, band, ca, n, ...) with the component `comp` of their class under the links."""
-    found = components(links).select(F.col("node").alias("ca"), "root")
+def joined(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """rows(key, band, ca, n, ...) with the component `comp` of their class, from roots(a, b): class and root."""
+    found = roots.select(F.col("a").alias("ca"), F.col("b").alias("root"))
     return rows.drop("comp").join(found, "ca", "left").select("key", "band", "ca", "n", F.coalesce("root", "ca").alias("comp"))
 
 
@@ -159,7 +160,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, permutations
 
     1. Every permutation of the shingle hashes gives two signature values, the smallest and the largest
        hash of the set, at half the hashing of plain minima. `band` values in a row are one bucket key.
-    2. Equal sets form one class. Each class is verified against the hub most of its buckets name, ROUNDS
+    2. Equal sets form one class. Each class is verified against the hub most of its buckets name, up to ROUNDS
        times with new hubs, so a large group of copies costs a comparison per class and is one component afterwards.
     3. In buckets that still hold several components all signatures of different components are compared,
        block by block, and pairs that are likely enough are verified. No bucket is capped.
@@ -185,18 +186,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, permutations
     signed = rows.where("n > 0").select("ca", "n", "bands", "codes").dropDuplicates(["ca"])
     buckets = signed.select(F.posexplode("bands").alias("band", "key"), "ca", "n", F.col("ca").alias("comp"))
     buckets = settle(of_several(buckets), "shared-buckets")
-    links, used = None, buckets.select("ca").limit(0)
+    # Components so far as links (class, root): they stand for all links found, so each round starts from them.
+    roots, used = None, buckets.select("ca").limit(0)
+
+    def grown(found: DataFrame) -> DataFrame:
+        return components(found if roots is None else roots.union(found)).select(F.col("node").alias("a"), F.col("root").alias("b"))
+
     for _ in range(ROUNDS):
         pairs = settle(hub_pairs(buckets, used, percent), "hub-pairs")
         found = confirmed(pairs, "hub")
         used = used.union(pairs.select("b")).distinct()
-        links = found if links is None else links.union(found)
-        buckets = settle(of_several(joined(buckets, links)), "shared-buckets")
+        roots = grown(found)
+        buckets = settle(of_several(joined(buckets, roots)), "shared-buckets")
+        if found.count() < WORTH * pairs.count():
+            break
     codes = signed.join(buckets.select("ca").distinct(), "ca", "left_semi").select("ca", "codes")
-    links = links.union(confirmed(settle(block_pairs(buckets, codes, percent, band), "block-pairs"), "block"))
+    roots = grown(confirmed(settle(block_pairs(buckets, codes, percent, band), "block-pairs"), "block"))
 
-    roots = components(links).select(F.col("node").alias("ca"), "root")
-    linked = classes.join(roots, "ca").select("ca", "cb", "first", "root")
+    linked = classes.join(roots.select(F.col("a").alias("ca"), F.col("b").alias("root")), "ca").select("ca", "cb", "first", "root")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     linked = linked.join(least, "root").select("ca", "cb", "root", "least")
     named = classes.join(linked, ["ca", "cb"], "left").select(
