@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 BROADCAST_ROWS = 100_000
 SALTS = 64
 
@@ -17,15 +19,14 @@ def attach(
 ) -> DataFrame:
     """Join `small` (one row per key) onto rows without sending one key to one task.
 
-    Up to `limit` rows of `small` are counted and kept; when that is all of it, it is
-    broadcast. Otherwise every key is split over `salts` parts, and `small` is repeated in
-    each of them.
+    `small` is computed once and written to the shared folder, so nothing stays cached. Up to
+    `limit` rows are broadcast. Otherwise every key is split over `salts` parts, and `small`
+    is repeated in each of them.
     """
     keys = list(keys)
-    head = small.limit(limit + 1).persist()
-    if head.count() <= limit:
-        return rows.join(F.broadcast(head), keys, how)
-    head.unpersist()
+    small = written(small, "attach")
+    if small.count() <= limit:
+        return rows.join(F.broadcast(small), keys, how)
     spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", spread).join(copies, [*keys, "_salt"], how).drop("_salt")

@@ -24,6 +24,8 @@ HOT_ROWS = 1_000_000
 #: Slices of a date that holds more rows than that.
 SLICES = 64
 BLOCK_ROWS = 100_000
+#: Blocks whose ends meet in one task.
+BLOCKS = 1_000
 BUCKETS_PER_E = 100_000
 
 
@@ -114,35 +116,49 @@ def own_rows(df: DataFrame) -> DataFrame:
 
 
 def fill_rows(
-    df: DataFrame, series: Sequence[str], idx: str, cols: Sequence[str], block_rows: int = BLOCK_ROWS
+    df: DataFrame, series: Sequence[str], idx: str, cols: Sequence[str], block_rows: int = BLOCK_ROWS,
+    fan: int = BLOCKS,
 ) -> DataFrame:
-    """Forward then backward fill along idx.
+    """Forward then backward fill along idx; series=[] is the whole table, NULL series form a series.
 
-    One row per block carries the last and first known values across blocks.
+    A scan on three levels: rows inside a block, blocks inside a group of `fan` blocks, groups. Each level
+    hands its last and first known values up and gets those of its neighbours back, so the only window over
+    a whole series runs on one row per block_rows * fan rows.
     """
-    keys = [*series, "_block"]
-    rows = df.withColumn("_block", F.floor(F.col(idx) / block_rows).cast("long"))
-    at = {c: F.when(F.col(c).isNotNull(), F.col(idx)) for c in cols}
-    ends = rows.groupBy(*keys).agg(
-        *[F.max_by(c, at[c]).alias(f"_l_{c}") for c in cols],
-        *[F.min_by(c, at[c]).alias(f"_f_{c}") for c in cols],
+    key = ["_key"] if series else []
+    rows = df.withColumn("_key", F.struct(*series)) if series else df  # structs join also where a field is NULL
+    rows = rows.withColumn("_block", F.floor(F.col(idx) / block_rows).cast("long"))
+    rows = rows.withColumn("_group", F.floor(F.col("_block") / fan).cast("long"))
+
+    def ends_of(part: DataFrame, keys: Sequence[str], at: str, last: str, first: str, out: tuple[str, str]) -> DataFrame:
+        """Last and first known value of each column per group of keys, `at` giving the order."""
+        return part.groupBy(*keys).agg(
+            *[F.max_by(f"{last}{c}", F.when(F.col(f"{last}{c}").isNotNull(), F.col(at))).alias(f"{out[0]}{c}") for c in cols],
+            *[F.min_by(f"{first}{c}", F.when(F.col(f"{first}{c}").isNotNull(), F.col(at))).alias(f"{out[1]}{c}") for c in cols],
+        )
+
+    blocks = ends_of(rows, [*key, "_group", "_block"], idx, "", "", ("_l_", "_f_"))
+    groups = ends_of(blocks, [*key, "_group"], "_block", "_l_", "_f_", ("_gl_", "_gf_"))
+    before, after = running(key, F.col("_group"), -1), running(key, F.col("_group").desc(), -1)
+    groups = groups.select(
+        *key, "_group",
+        *[F.last(f"_gl_{c}", True).over(before).alias(f"_gp_{c}") for c in cols],
+        *[F.last(f"_gf_{c}", True).over(after).alias(f"_gq_{c}") for c in cols],
     )
-    before = running(series, F.col("_block"), -1)
-    after = running(series, F.col("_block").desc(), -1)
-    ends = ends.select(
-        *keys,
-        *[F.last(f"_l_{c}", True).over(before).alias(f"_p_{c}") for c in cols],
-        *[F.last(f"_f_{c}", True).over(after).alias(f"_q_{c}") for c in cols],
+    before, after = running([*key, "_group"], F.col("_block"), -1), running([*key, "_group"], F.col("_block").desc(), -1)
+    blocks = blocks.join(groups, [*key, "_group"]).select(
+        *key, "_block",
+        *[F.coalesce(F.last(f"_l_{c}", True).over(before), F.col(f"_gp_{c}")).alias(f"_p_{c}") for c in cols],
+        *[F.coalesce(F.last(f"_f_{c}", True).over(after), F.col(f"_gq_{c}")).alias(f"_q_{c}") for c in cols],
     )
-    back = running(keys, F.col(idx))
-    fore = running(keys, F.col(idx).desc())
+    back, fore = running([*key, "_block"], F.col(idx)), running([*key, "_block"], F.col(idx).desc())
     filled = {
         c: F.coalesce(
             F.last(c, True).over(back), F.col(f"_p_{c}"), F.last(c, True).over(fore), F.col(f"_q_{c}")
         )
         for c in cols
     }
-    out = rows.join(ends, keys).withColumns(filled)
+    out = rows.join(blocks, [*key, "_block"]).withColumns(filled)
     return out.select(*df.columns)
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,3 +39,13 @@ def shared_folder(spark: SparkSession) -> str:
     if not named and not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return named or _own_folder()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df as a table of its own in the shared folder; the files go when the session's JVM ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

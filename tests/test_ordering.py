@@ -81,15 +81,16 @@ def test_frame_longer_than_block_is_refused(df):
         o.with_blocks(df.withColumn("idx", F.lit(0)), "idx", 10, block_rows=5)
 
 
-@pytest.mark.parametrize("block_rows", [10, 77, 5000])
+@pytest.mark.parametrize("block_rows, fan", [(10, 2), (10, 1000), (77, 3), (5000, 1000)])
 @pytest.mark.parametrize("series", [[], ["k"]])
-def test_fill_rows_across_blocks(spark, quotes, block_rows, series):
+def test_fill_rows_across_blocks(spark, quotes, block_rows, fan, series):
     holes = quotes.copy()
     want = ordered(holes, series)
     gap = (want["idx"] < 25) | (want["idx"] % 60 > 20)
     want["y"] = want["x"].where(~gap)
     src = spark.createDataFrame(want.replace({np.nan: None}).astype({"y": object}), "k string, date date, row_id long, x double, idx long, y double")
-    got = o.fill_rows(src, series, "idx", ["y"], block_rows).toPandas()
+    got = o.fill_rows(src, series, "idx", ["y"], block_rows, fan).toPandas()
+    assert len(got) == len(want)
     groups = want.groupby(series)["y"] if series else want["y"]
     filled = groups.ffill()
     want["f"] = filled
@@ -98,6 +99,21 @@ def test_fill_rows_across_blocks(spark, quotes, block_rows, series):
     np.testing.assert_array_equal(merged["y"], merged["f"])
 
 
+def test_fill_rows_keeps_null_series(spark):
+    src = spark.createDataFrame(
+        [(None, i, 5.0 if i == 3 else None) for i in range(9)] + [("a", i, None) for i in range(3)], "k string, idx long, y double")
+    got = o.fill_rows(src, ["k"], "idx", ["y"], 2, 2).toPandas()
+    assert len(got) == 12
+    assert (got[got["k"].isna()]["y"] == 5.0).all() and got[got["k"] == "a"]["y"].isna().all()
+
+
+def test_fill_rows_windows_over_a_series_see_one_row_per_group(spark, quotes):
+    src = spark.range(100).selectExpr("id AS idx", "if(id % 7 = 0, id, null) AS y")
+    text = o.fill_rows(src, [], "idx", ["y"], 10, 2)._jdf.queryExecution().optimizedPlan().toString()
+    wide = [line for line in text.splitlines() if "Window [" in line and "_block" not in line.split("], [")[1]]
+    assert wide and all("_group" in line for line in wide)
+
+
 @pytest.mark.parametrize("hot_rows", [0, 200, 10_000])
 @pytest.mark.parametrize("by", [[], ["k"]])
 def test_exact_quantiles_equal_pandas(df, quotes, by, hot_rows):
@@ -149,6 +165,7 @@ def test_hash_batches_are_a_permutation(spark):
 def test_attach_by_broadcast_and_by_salt(df, quotes, limit, how):
     small = df.where("k <> 'c'").groupBy("k").agg(F.sum("x").alias("total"))
     got = attach(df, small, ["k"], how, limit=limit, salts=8).toPandas()
+    assert df.sparkSession._jsc.getPersistentRDDs().isEmpty()
     want = quotes if how == "left" else quotes[quotes["k"] != "c"]
     assert len(got) == len(want)
     sums = quotes[quotes["k"] != "c"].groupby("k")["x"].sum()
