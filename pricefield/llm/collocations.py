@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import prod
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,9 +26,8 @@ WORDS = 500_000
 DISTINCT = 300_000
 #: Bits of a filter of phrases worth counting; beyond its capacity more phrases are counted than needed.
 FILTER_POWER = 26
-#: A word as the contract has it: the ends of pieces and blanks stand between words.
-WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
-_PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
+#: All ends of pieces become points, which no word holds; blanks and tabs stand between words.
+_PIECES = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
 _MIX, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -34,7 +35,7 @@ class Codes(dict):
     """Numbers for words in order of appearance; 0 is the end of a piece."""
 
     def __init__(self):
-        super().__init__({b"\n": 0})
+        super().__init__({b".": 0})
 
     def __missing__(self, word: bytes) -> int:
         self[word] = code = len(self)
@@ -48,9 +49,8 @@ class Chunk:
         self.vocabulary, self.parts, self.owners, self.size = Codes(), [], [], 0
 
     def add(self, text: bytes, group) -> None:
-        tokens = text.lower().translate(_PIECES).replace(b"\n", b" \n ").split(b" ")
-        tokens = [t for t in tokens if t]
-        tokens.append(b"\n")
+        tokens = text.lower().translate(_PIECES).replace(b".", b" . ").split()
+        tokens.append(b".")
         self.parts.append(np.fromiter(map(self.vocabulary.__getitem__, tokens), np.int64, len(tokens)))
         self.owners.append(group)
         self.size += len(tokens)
@@ -92,6 +92,26 @@ def chunks(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[Chunk]:
         yield chunk.close()
 
 
+def distinct(columns: list[np.ndarray], bounds: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of numbers from 0 to below their bounds, and how often each occurs."""
+    if prod(bounds) < 1 << 63:
+        key = columns[0]
+        for column, bound in zip(columns[1:], bounds[1:]):
+            key = key * bound + column
+        key, n = np.unique(key, return_counts=True)
+        out = []
+        for bound in bounds[:0:-1]:
+            key, column = np.divmod(key, bound)
+            out.append(column)
+        return [key, *out[::-1]], n
+    order = np.lexsort(columns)
+    columns = [x[order] for x in columns]
+    change = np.ones(len(order), bool)
+    change[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in columns])
+    first = np.flatnonzero(change)
+    return [x[first] for x in columns], np.diff(np.append(first, len(order)))
+
+
 def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     slot = hashes >> np.uint64(64 - FILTER_POWER)
     return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
@@ -111,8 +131,8 @@ def filter_of(hashes: DataFrame) -> np.ndarray:
 def mined(docs: DataFrame, k: int, parts: np.ndarray | None) -> DataFrame:
     """docs(text, shard): (shard, phrase, n), the counts of all k-word phrases of every shard, by their hashes.
 
-    With `parts`, the filter of the frequent phrases of k - 1 words, a phrase both of whose parts are not in it
-    cannot be frequent and is not counted.
+    With `parts`, the filter of the promising phrases of k - 1 words, a phrase both of whose parts are not in it
+    cannot reach the support and is not counted.
     """
     shared = docs.sparkSession.sparkContext.broadcast(parts)
 
@@ -123,15 +143,31 @@ def mined(docs: DataFrame, k: int, parts: np.ndarray | None) -> DataFrame:
                 known = in_filter(shared.value, chunk.phrases(k - 1))
                 at &= known[:-1] & known[1:]
             places = np.flatnonzero(at)
-            phrase, shard = chunk.phrases(k)[places], np.array(chunk.groups, np.int64)[chunk.group[places]]
-            _, first, n = np.unique((phrase ^ shard.view(np.uint64) * _ADD) * _MIX, return_index=True, return_counts=True)
+            phrase, group = chunk.phrases(k)[places].view(np.int64), chunk.group[places]
+            order = np.argsort(group.astype(np.min_scalar_type(len(chunk.groups))), kind="stable")
+            ends = np.searchsorted(group[order], np.arange(1, len(chunk.groups)))
+            found, n = zip(*(np.unique(own, return_counts=True) for own in np.split(phrase[order], ends)))
+            shard = np.repeat(np.array(chunk.groups, np.int64), [len(x) for x in found])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[first]), pa.array(phrase[first].view(np.int64)), pa.array(n.astype(np.int64))], names=["shard", "phrase", "n"])
+                [pa.array(shard), pa.array(np.concatenate(found)), pa.array(np.concatenate(n), pa.int64())], names=["shard", "phrase", "n"])
 
     rows = docs.select("text", "shard").mapInArrow(scan, "shard long, phrase long, n long")
     return rows.groupBy("shard", "phrase").agg(F.sum("n").alias("n"))
 
 
+def promising(counts: DataFrame, local: DataFrame, support: int) -> DataFrame:
+    """Of counts(shard, phrase, n) the phrases that are frequent in a shard and may reach `support` in a language.
+
+    local(lang, shard, need): where a phrase is not frequent it stands at most need - 1 times. With these and its
+    counts where it is frequent, a phrase that stays under the support cannot be a candidate.
+    """
+    rest = F.greatest(F.col("need") - 1, F.lit(0))
+    local = local.withColumns({"rest": rest, "unseen": F.sum(rest).over(Window.partitionBy("lang"))})
+    frequent = counts.join(local, "shard").where(F.col("n") >= F.col("need"))
+    most = frequent.groupBy("lang", "phrase").agg((F.sum(F.col("n") - F.col("rest")) + F.max("unseen")).alias("most"))
+    return most.where(F.col("most") >= support).select("phrase")
+
+
 def counted(docs: DataFrame, wanted: dict[int, np.ndarray]) -> DataFrame:
     """docs(text, lang): (lang, k, phrase, n), the exact counts over all documents of all words (k = 1) and phrases.
 
@@ -139,33 +175,33 @@ def counted(docs: DataFrame, wanted: dict[int, np.ndarray]) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
-    def rows_of(langs: list[str], k: int, phrases: list[bytes], n) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([
-            pa.array(langs, pa.string()), pa.array(np.full(len(langs), k, np.int32)),
-            pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()),
-        ], names=["lang", "k", "phrase", "n"])
+    def rows_of(langs: pa.Array, k: int, phrases: pa.Array, n) -> pa.RecordBatch:
+        kinds = pa.array(np.full(len(langs), k, np.int32))
+        return pa.RecordBatch.from_arrays([langs, kinds, phrases.cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "k", "phrase", "n"])
+
+    def words_of(words: dict[tuple[str, bytes], int]) -> pa.RecordBatch:
+        return rows_of(pa.array([w[0] for w in words], pa.string()), 1, pa.array([w[1] for w in words], pa.binary()), list(words.values()))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[tuple[str, bytes], int] = {}
         for chunk in chunks(batches, "lang"):
             size = len(chunk.words)
-            for at, n in zip(*np.unique((chunk.group * size + chunk.codes)[chunk.whole(1)], return_counts=True)):
-                word = chunk.groups[at // size], chunk.words[at % size]
-                words[word] = words.get(word, 0) + int(n)
+            at = chunk.whole(1)
+            (group, code), n = distinct([chunk.group[at], chunk.codes[at]], [len(chunk.groups), size])
+            for g, c, count in zip(group.tolist(), code.tolist(), n.tolist()):
+                word = chunk.groups[g], chunk.words[c]
+                words[word] = words.get(word, 0) + count
             if len(words) >= DISTINCT:
-                yield rows_of([w[0] for w in words], 1, [w[1] for w in words], list(words.values()))
+                yield words_of(words)
                 words.clear()
+            langs, vocabulary = pa.array(chunk.groups, pa.string()), pa.array(chunk.words, pa.binary())
             for k, bits in shared.value.items():
                 places = np.flatnonzero(chunk.whole(k) & in_filter(bits, chunk.phrases(k)))
                 keys = [chunk.group[places], *[chunk.codes[places + i] for i in range(k)]]
-                order = np.lexsort(keys)
-                places, keys = places[order], [x[order] for x in keys]
-                change = np.ones(len(places), bool)
-                change[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in keys])
-                first = np.flatnonzero(change)
-                texts = [b" ".join([chunk.words[c] for c in chunk.codes[p : p + k]]) for p in places[first]]
-                yield rows_of([chunk.groups[g] for g in keys[0][first]], k, texts, np.diff(np.append(first, len(places))))
-        yield rows_of([w[0] for w in words], 1, [w[1] for w in words], list(words.values()))
+                (group, *codes), n = distinct(keys, [len(chunk.groups), *[size] * k])
+                texts = pc.binary_join_element_wise(*[vocabulary.take(pa.array(c)) for c in codes], pa.scalar(b" ", pa.binary()))
+                yield rows_of(langs.take(pa.array(group)), k, texts, n)
+        yield words_of(words)
 
     rows = docs.select("text", "lang").mapInArrow(scan, "lang string, k int, phrase string, n long")
     return rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
@@ -191,10 +227,11 @@ def collocations(
     words of the language, score = floor(1000000 a a / (l r)). A phrase inside a longer candidate with at
     least half as many occurrences is left out.
 
-    1. Documents are dealt into shards per language. A phrase that occurs `support` times among a language's n words
-       reaches ceil(support * n_shard / n) in at least one shard. Each shard is mined completely at that lower
-       support, by length: a phrase is only counted if both of its shorter parts are frequent in a shard.
-    2. The phrases that are frequent in any shard are counted over all documents, exactly and by their words.
+    1. Documents are dealt into shards per language. A phrase that occurs `support` times among a language's n bytes
+       of text reaches ceil(support * n_shard / n) in at least one shard. Each shard is mined completely at that lower
+       support, by length: a phrase is only counted if both of its shorter parts passed.
+    2. A phrase passes if it is frequent in a shard and its counts there, with the most that the other shards can
+       hold unseen, reach `support`. These are counted over all documents, exactly and by their words.
 
     The first step goes by 64-bit hashes and filters of fixed size; both can only add candidates, which the
     second step counts and rejects. Null texts count as empty, a null language is `und`; repeated rows count each
@@ -206,16 +243,14 @@ def collocations(
     docs = docs.select(text.alias("text"), lang.alias("lang"))
     docs = docs.withColumn("shard", F.xxhash64("lang", F.pmod(F.xxhash64("text"), F.lit(shards))))
 
-    sizes = docs.groupBy("lang", "shard").agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n"))
+    sizes = docs.groupBy("lang", "shard").agg(F.sum(F.octet_length("text").cast("long")).alias("n"))
     sizes = settle(sizes, "shard-sizes")  # a row per language and shard
-    words = F.sum("n").over(Window.partitionBy("lang"))
-    local = sizes.withColumn("need", F.ceil(F.col("n") * support / F.nullif(words, F.lit(0))))
-    local = local.groupBy("shard").agg(F.min("need").alias("need"))
+    whole = F.sum("n").over(Window.partitionBy("lang"))
+    local = sizes.select("lang", "shard", F.ceil(F.col("n") * support / F.nullif(whole, F.lit(0))).alias("need"))
 
     wanted: dict[int, np.ndarray] = {}
     for k in range(2, max_words + 1):
-        frequent = mined(docs, k, wanted.get(k - 1)).join(local, "shard").where(F.col("n") >= F.col("need"))
-        wanted[k] = filter_of(frequent.select("phrase"))
+        wanted[k] = filter_of(promising(mined(docs, k, wanted.get(k - 1)), local, support))
     counts = counted(docs, wanted).where((F.col("k") == 1) | (F.col("n") >= support))
     counts = settle(counts, "phrase-counts")
 
@@ -239,7 +274,7 @@ def collocations(
 
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     best = weakest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    total = sizes.groupBy("lang").agg(F.sum("n").alias("n"))
+    total = counts.where("k = 1").groupBy("lang").agg(F.sum("n").alias("n"))
     return best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

@@ -8,6 +8,9 @@ from collections import Counter, defaultdict
 
 from corpus_tables import DOCS, odd_documents
 
+import numpy as np
+
+from pricefield.llm import collocations as collocations_module
 from pricefield.llm.catalog import QUERIES
 from pricefield.llm.collocations import collocations, strength
 from pricefield.llm.manifest import leaf_digest, manifest
@@ -63,6 +66,23 @@ def test_collocations_of_longer_phrases_and_several_shards(spark):
         assert got == plain_collocations(rows, max_words, support, top)
 
 
+def test_phrases_that_cannot_reach_the_support_are_not_counted(spark, monkeypatch):
+    rows = [(f"a{i} b{i} c{i}. " * 3, "en") for i in range(800)] + [("the old mill", "en")] * 12
+    seen, real = {}, collocations_module.counted
+    monkeypatch.setattr(collocations_module, "counted", lambda docs, wanted: seen.update(wanted) or real(docs, wanted))
+    got = collocations(spark.createDataFrame(rows, "text string, lang string"), 3, 10, 2000, 4)
+    assert sorted(map(tuple, got.collect())) == plain_collocations(rows, 3, 10, 2000)
+    assert {k: int(np.unpackbits(bits).sum()) for k, bits in seen.items()} == {2: 2, 3: 1}
+
+
+def test_distinct_rows_of_codes():
+    columns = [np.array(x) for x in ([1, 0, 1, 1, 0], [2, 0, 2, 3, 1])]
+    for bounds in ([2, 4], [2, 1 << 62]):
+        rows, n = collocations_module.distinct(columns, bounds)
+        assert dict(zip(zip(*(x.tolist() for x in rows)), n.tolist())) == {(1, 2): 2, (0, 0): 1, (1, 3): 1, (0, 1): 1}
+        assert [len(x) for x in collocations_module.distinct([x[:0] for x in columns], bounds)[0]] == [0, 0]
+
+
 def test_scores_pass_64_bits(spark):
     rows = [(3_000_000_000_000, 3_000_000_000_001, 4_000_000_000_003), (7, 7, 9), (10**15, 10**15, 10**15)]
     got = spark.createDataFrame(rows, "a long, l long, r long").select("a", "l", "r", strength(F.col("a"), F.col("l"), F.col("r")).alias("s"))
